@@ -17,7 +17,20 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _line(width: int, fields: dict[int, Column]) -> Column:
-    return F.concat_ws("\t", *(fields.get(i, F.lit("")).cast("string") for i in range(width)))
+    """Tab-separated fields; runs of empty ones become one literal, which keeps the generated code small."""
+    parts, gap = [], 0
+    for i in range(width):
+        if i in fields:
+            parts += [F.lit("\t" * gap)] if gap else []
+            parts.append(fields[i].cast("string"))
+            gap = 0
+        gap += i < width - 1
+    return F.concat(*parts, *([F.lit("\t" * gap)] if gap else []))
+
+
+def _emit(table: DataFrame, line: Column, copies: Column | None = None) -> DataFrame:
+    """Lines as a scan would give them: rows of their own, which no later filter is pushed into."""
+    return table.select(F.explode(F.array_repeat(line, F.lit(1) if copies is None else copies)).alias("line"))
 
 
 def _every(key: str, n: int, rest: int = 0) -> Column:
@@ -46,8 +59,8 @@ def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         60: F.when(_every("o_orderkey", 89, 1), "").otherwise(F.concat(F.lit("http://e/"), F.col("o_orderkey"))),
     }
     extra_field = F.when(_every("o_orderkey", 83, 2), "\tx").otherwise("")
-    copies = F.array_repeat(F.concat(_line(61, fields), extra_field), F.when(_every("o_orderkey", 97), 3).otherwise(1))
-    return _table(spark, sf_dir, "orders").select(F.explode(copies).alias("line"))
+    return _emit(_table(spark, sf_dir, "orders"), F.concat(_line(61, fields), extra_field),
+                 copies=F.when(_every("o_orderkey", 97), 3).otherwise(1))
 
 
 def mention_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,7 +86,7 @@ def mention_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         13: F.when(_every("l_partkey", 61), "").otherwise(F.col("l_discount").cast("string")),
         14: F.when(_every("l_partkey", 61), "").otherwise(language),
     }
-    return _table(spark, sf_dir, "lineitem").select(_line(15, fields).alias("line"))
+    return _emit(_table(spark, sf_dir, "lineitem"), _line(15, fields))
 
 
 def gkg_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -105,7 +118,7 @@ def gkg_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit(",1,2,3,4,5,6"))),
         24: F.when(_every("event_id", 53), "").otherwise("1"),
     }
-    return _table(spark, sf_dir, "events").select(_line(25, fields).alias("line"))
+    return _emit(_table(spark, sf_dir, "events"), _line(25, fields))
 
 
 def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -101,9 +101,11 @@ def _lenient_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(part % 6 == 4, F.concat(F.lit("+"), part))
         .otherwise(F.concat(F.lit("-"), part))
     )
-    return spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
-        "l_orderkey", "l_linenumber", "l_partkey", fn.int_or_zero(text).alias("as_int"),
-        fn.long_or_zero(text).alias("as_long"), fn.double_or_zero(text).alias("as_double"))
+    texts = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
+        "l_orderkey", "l_linenumber", "l_partkey", text.alias("text"))
+    return texts.select(
+        "l_orderkey", "l_linenumber", "l_partkey", fn.int_or_zero("text").alias("as_int"),
+        fn.long_or_zero("text").alias("as_long"), fn.double_or_zero("text").alias("as_double"))
 
 
 def _source_language(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,10 +120,9 @@ def _date_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _tone_value(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tone = F.col("V2Tone")
     return _gkg(spark, sf_dir).select(
-        "GKGRECORDID", fn.first_tone(tone, "double").alias("tone"),
-        fn.first_tone(tone, "float").cast("double").alias("tone_float"))
+        "GKGRECORDID", fn.first_tone("V2Tone", "double").alias("tone"),
+        fn.first_tone("V2Tone", "float").cast("double").alias("tone_float"))
 
 
 def _location_countries(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,9 +13,9 @@ def source_language(translation_info: Column) -> Column:
     return F.substr(first, F.instr(first, ":") + 1)
 
 
-def first_tone(tone: Column, type_name: str) -> Column:
+def first_tone(tone: str, type_name: str) -> Column:
     """The leading value of a tone list ``t,p,n,…``; null when it is not a number."""
-    return try_float(F.substring_index(tone, ",", 1), type_name)
+    return try_float(f"substring_index({tone}, ',', 1)", type_name)
 
 
 def items(listing: Column) -> Column:

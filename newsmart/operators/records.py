@@ -7,11 +7,16 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from newsmart.functions import bigint_or_zero, double_or_zero, int_or_zero, long_or_zero, source_language
+from newsmart.functions import source_language
+from newsmart.functions.lenient import double_or_zero_sql, whole_or_zero_sql
 from newsmart.schemas import EVENT_FIELDS, FIELD_COUNT, GKG_FIELDS, MENTION_FIELDS
 
 _READERS = {
-    "s": lambda text: text, "i": int_or_zero, "l": long_or_zero, "d": double_or_zero, "n": bigint_or_zero,
+    "s": lambda text: text,
+    "i": lambda text: whole_or_zero_sql(text, "int"),
+    "l": lambda text: whole_or_zero_sql(text, "bigint"),
+    "n": lambda text: whole_or_zero_sql(text, "decimal(38,0)"),
+    "d": double_or_zero_sql,
 }
 
 
@@ -40,16 +45,16 @@ def rejected_lines(lines: DataFrame, kind: str) -> DataFrame:
 
 
 def _parse(lines: DataFrame, kind: str, fields, extra: dict[str, Column], keep: tuple[str, ...]) -> DataFrame:
+    fewest, _ = FIELD_COUNT[kind]
     split = (
         lines.where(_well_formed(kind, _field_count(F.col("line"))))
         .select(*keep, F.split(_record(F.col("line")), "\t").alias("f"))
     )
-    typed = [
-        _READERS[type_code](F.coalesce(F.get("f", F.lit(index)), F.lit(""))
-                            if index >= FIELD_COUNT[kind][0] else F.get("f", F.lit(index))).alias(name)
-        for index, (name, type_code) in enumerate(fields)
-    ]
-    return split.select(*keep, *typed).withColumns(extra)
+    # get(), not f[i]: the optimizer may evaluate a later filter on a field before the one on the field count.
+    texts = (f"get(f, {i})" if i < fewest else f"coalesce(get(f, {i}), '')" for i in range(len(fields)))
+    typed = (f"{_READERS[code](text)} AS {name}" for text, (name, code) in zip(texts, fields))
+    records = split.selectExpr(*keep, *typed)
+    return records.withColumns(extra) if extra else records
 
 
 def parse_events(lines: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:

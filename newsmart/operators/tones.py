@@ -18,7 +18,7 @@ def tone_by_item(gkg: DataFrame, listing: Column, item: str, skip_blank: bool =
         item_date_parts(F.col("DATE"))["date"].alias("date"),
         F.col("SourceCommonName").alias("source"),
         listing.alias("listing"),
-        first_tone(F.col("V2Tone"), "float").alias("tone"),
+        first_tone("V2Tone", "float").alias("tone"),
     ).dropna(subset=["tone"])
     exploded = dated.select("date", "source", "tone", F.explode("listing").alias(item))
     if skip_blank:

@@ -95,7 +95,7 @@ def country_pair_tone(gkg: DataFrame) -> DataFrame:
     """
     articles = gkg.select(
         F.substring(F.col("DATE").cast("string"), 1, 8).alias("date"),
-        first_tone(F.col("V2Tone"), "double").alias("tone"),
+        first_tone("V2Tone", "double").alias("tone"),
         mentioned_countries(F.col("V2Locations")).alias("countries"),
     )
     parts = date_parts(F.col("date"))
