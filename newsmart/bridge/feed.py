@@ -2,12 +2,12 @@
 
 orders → event lines, lineitem → mention lines, events → article-knowledge lines, orders and events → manifest
 entries. Rules on the keys give a share of the lines the blemishes of a real feed: copies, wrong field counts,
-unreadable numbers, odd locations. ``bridge.relations`` states the same rules in SQL, on columns instead of text.
+unreadable numbers, odd locations. ``bridge.relations`` states the same rules over columns instead of text.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from newsmart.schemas import MANIFEST_SCHEMA
 
@@ -16,136 +16,110 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _line(width: int, fields: dict[int, Column]) -> Column:
-    """Tab-separated fields; runs of empty ones become one literal, which keeps the generated code small."""
+def _line(width: int, fields: dict[int, str]) -> str:
+    """Tab-separated fields as one SQL expression; a run of empty fields is one literal."""
     parts, gap = [], 0
     for i in range(width):
         if i in fields:
-            parts += [F.lit("\t" * gap)] if gap else []
-            parts.append(fields[i].cast("string"))
+            parts += ["'" + "\\t" * gap + "'"] if gap else []
+            parts.append(fields[i])
             gap = 0
         gap += i < width - 1
-    return F.concat(*parts, *([F.lit("\t" * gap)] if gap else []))
+    return f"concat({', '.join(parts)}" + (", '" + "\\t" * gap + "')" if gap else ")")
 
 
-def _emit(table: DataFrame, line: Column, copies: Column | None = None) -> DataFrame:
+def _emit(table: DataFrame, line: str, copies: str = "1") -> DataFrame:
     """Lines as a scan would give them: rows of their own, which no later filter is pushed into."""
-    return table.select(F.explode(F.array_repeat(line, F.lit(1) if copies is None else copies)).alias("line"))
-
-
-def _every(key: str, n: int, rest: int = 0) -> Column:
-    return F.col(key) % n == rest
+    return table.selectExpr(f"explode(array_repeat({line}, {copies})) AS line")
 
 
 def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event lines: three copies for every 97th order; a blank url, or a field too many, in some."""
-    date = F.date_format("o_orderdate", "yyyyMMdd")
-    price = F.col("o_totalprice")
-    fields = {
-        0: F.col("o_orderkey"),
+    date, price = "date_format(o_orderdate, 'yyyyMMdd')", "CAST(o_totalprice AS STRING)"
+    line = _line(61, {
+        0: "o_orderkey",
         1: date,
-        2: F.substring(date, 1, 6),
-        3: F.substring(date, 1, 4),
-        4: F.when(_every("o_orderkey", 3), "").otherwise(price.cast("string")),
-        5: F.concat(F.lit("A"), F.col("o_custkey") % 10),
-        25: F.lit("+1"),
-        31: F.when(_every("o_orderkey", 7, 3), "abc").otherwise(F.col("o_custkey").cast("string")),
-        32: F.when(_every("o_orderkey", 7, 4), " 5").otherwise("5"),
-        34: F.when(_every("o_orderkey", 11, 5), "inf").otherwise(price.cast("string")),
-        37: F.concat(F.lit("NATION_"), F.col("o_orderkey") % 25),
-        53: F.when(_every("o_custkey", 31), "").otherwise(F.concat(F.lit("NATION_"), F.col("o_custkey") % 25)),
-        56: F.when(_every("o_orderkey", 5), "").otherwise(price.cast("string")),
-        59: F.when(_every("o_orderkey", 13, 6), "1.5").otherwise(F.concat(date, F.lit("000000"))),
-        60: F.when(_every("o_orderkey", 89, 1), "").otherwise(F.concat(F.lit("http://e/"), F.col("o_orderkey"))),
-    }
-    extra_field = F.when(_every("o_orderkey", 83, 2), "\tx").otherwise("")
-    return _emit(_table(spark, sf_dir, "orders"), F.concat(_line(61, fields), extra_field),
-                 copies=F.when(_every("o_orderkey", 97), 3).otherwise(1))
+        2: "date_format(o_orderdate, 'yyyyMM')",
+        3: "date_format(o_orderdate, 'yyyy')",
+        4: f"if(o_orderkey % 3 = 0, '', {price})",
+        5: "'A', o_custkey % 10",
+        25: "'+1'",
+        31: "if(o_orderkey % 7 = 3, 'abc', CAST(o_custkey AS STRING))",
+        32: "if(o_orderkey % 7 = 4, ' 5', '5')",
+        34: f"if(o_orderkey % 11 = 5, 'inf', {price})",
+        37: "'NATION_', o_orderkey % 25",
+        53: "if(o_custkey % 31 = 0, '', concat('NATION_', o_custkey % 25))",
+        56: f"if(o_orderkey % 5 = 0, '', {price})",
+        59: f"if(o_orderkey % 13 = 6, '1.5', concat({date}, '000000'))",
+        60: "if(o_orderkey % 89 = 1, '', concat('http://e/', o_orderkey)), if(o_orderkey % 83 = 2, '\\tx', '')",
+    })
+    return _emit(_table(spark, sf_dir, "orders"), line, copies="if(o_orderkey % 97 = 0, 3, 1)")
 
 
 def mention_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mention lines: 13 fields in some, unreadable confidences, and every spelling of the source language."""
-    language = (
-        F.when(_every("l_suppkey", 13), ";")
-        .when(F.col("l_returnflag") == "N", "")
-        .when(F.col("l_returnflag") == "A", "srclc:a;eng:m")
-        .when(F.col("l_linestatus") == "F", "srclc:r:f;eng:m")
-        .otherwise("abc")
-    )
-    stamp = F.date_format("l_shipdate", "yyyyMMddHHmmss")
-    fields = {
-        0: F.col("l_orderkey"),
+    stamp = "date_format(l_shipdate, 'yyyyMMddHHmmss')"
+    language = """CASE WHEN l_suppkey % 13 = 0 THEN ';' WHEN l_returnflag = 'N' THEN ''
+        WHEN l_returnflag = 'A' THEN 'srclc:a;eng:m' WHEN l_linestatus = 'F' THEN 'srclc:r:f;eng:m' ELSE 'abc' END"""
+    line = _line(15, {
+        0: "l_orderkey",
         1: stamp,
         2: stamp,
-        3: F.lit("1"),
-        4: F.concat(F.lit("S"), F.col("l_suppkey") % 20),
-        5: F.concat(F.lit("http://m/"), F.col("l_partkey")),
-        6: F.col("l_linenumber"),
-        11: F.when(_every("l_partkey", 17), "n/a").otherwise(F.col("l_quantity").cast("int").cast("string")),
-        12: F.lit("100"),
-        13: F.when(_every("l_partkey", 61), "").otherwise(F.col("l_discount").cast("string")),
-        14: F.when(_every("l_partkey", 61), "").otherwise(language),
-    }
-    return _emit(_table(spark, sf_dir, "lineitem"), _line(15, fields))
+        3: "'1'",
+        4: "'S', l_suppkey % 20",
+        5: "'http://m/', l_partkey",
+        6: "l_linenumber",
+        11: "if(l_partkey % 17 = 0, 'n/a', CAST(CAST(l_quantity AS INT) AS STRING))",
+        12: "'100'",
+        13: "if(l_partkey % 61 = 0, '', CAST(l_discount AS STRING))",
+        14: f"if(l_partkey % 61 = 0, '', {language})",
+    })
+    return _emit(_table(spark, sf_dir, "lineitem"), line)
 
 
 def gkg_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Article lines: spread over a year, with missing, unreadable or odd dates, tones, lists and locations."""
-    event, user = F.col("event_id"), F.col("user_id")
-
-    def nation(number: Column) -> Column:
-        return F.concat(F.lit("NATION_"), number % 25)
-
-    date = F.date_format(F.add_months(F.col("ts").cast("date"), (user % 12).cast("int")), "yyyyMMdd")
-    locations = F.concat(
-        F.lit("1#"), nation(event), F.lit("#A#x;4#City, Region, "), nation(user),
-        F.lit("#B#x;2#State, "), nation(F.floor(event / 25)), F.lit("#C#x"),
-        F.when(_every("event_id", 41), ";4##").otherwise(""),
-        F.when(_every("event_id", 43), ";1# #US#x").otherwise(""),
-    )
-    fields = {
-        0: event,
-        1: F.when(_every("event_id", 59), "bad").otherwise(F.concat(date, F.date_format("ts", "HHmmss"))),
-        2: F.lit("1"),
-        3: F.col("event_type"),
-        4: F.concat(F.lit("http://d/"), event),
-        7: F.when(_every("event_id", 13), "").otherwise(
-            F.concat(F.lit("T"), event % 7, F.lit(";P"), event % 11, F.lit(";"))),
-        10: F.when(_every("event_id", 37), "").otherwise(locations),
-        11: F.concat(F.lit("p"), user % 17, F.lit(";q"), event % 5),
-        15: F.when(_every("event_id", 31), "").otherwise(F.concat(
-            F.when(_every("event_id", 29), "x").otherwise(F.round(F.col("value") * 100).cast("bigint").cast("string")),
-            F.lit(",1,2,3,4,5,6"))),
-        24: F.when(_every("event_id", 53), "").otherwise("1"),
-    }
-    return _emit(_table(spark, sf_dir, "events"), _line(25, fields))
+    date = "date_format(add_months(CAST(ts AS DATE), CAST(user_id % 12 AS INT)), 'yyyyMMdd')"
+    locations = """concat('1#NATION_', event_id % 25, '#A#x;4#City, Region, NATION_', user_id % 25,
+        '#B#x;2#State, NATION_', (event_id DIV 25) % 25, '#C#x',
+        if(event_id % 41 = 0, ';4##', ''), if(event_id % 43 = 0, ';1# #US#x', ''))"""
+    tone = "if(event_id % 29 = 0, 'x', CAST(CAST(round(value * 100) AS BIGINT) AS STRING))"
+    line = _line(25, {
+        0: "event_id",
+        1: f"if(event_id % 59 = 0, 'bad', concat({date}, date_format(ts, 'HHmmss')))",
+        2: "'1'",
+        3: "event_type",
+        4: "'http://d/', event_id",
+        7: "if(event_id % 13 = 0, '', concat('T', event_id % 7, ';P', event_id % 11, ';'))",
+        10: f"if(event_id % 37 = 0, '', {locations})",
+        11: "'p', user_id % 17, ';q', event_id % 5",
+        15: f"if(event_id % 31 = 0, '', concat({tone}, ',1,2,3,4,5,6'))",
+        24: "if(event_id % 53 = 0, '', '1')",
+    })
+    return _emit(_table(spark, sf_dir, "events"), line)
+
+
+_NAME = "concat(date_format(o_orderdate, 'yyyyMMdd'), lpad(CAST(o_orderkey AS STRING), 6, '0'), '.export.CSV.zip')"
 
 
 def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Manifest of original files: one per order."""
-    url = F.concat(
-        F.lit("http://feed.example/v2/"), F.date_format("o_orderdate", "yyyyMMdd"),
-        F.lpad(F.col("o_orderkey").cast("string"), 6, "0"), F.lit(".export.CSV.zip"))
-    return _manifest(_table(spark, sf_dir, "orders"), "o_orderkey", url)
+    return _manifest(_table(spark, sf_dir, "orders"), "o_orderkey", _NAME)
 
 
 def translated_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Manifest of translated files: one per event."""
-    url = F.concat(
-        F.lit("http://feed.example/v2/"), F.date_format("ts", "yyyyMMddHHmmss"), F.lit(".translation.gkg.csv.zip"))
-    return _manifest(_table(spark, sf_dir, "events"), "event_id", url)
+    name = "concat(date_format(ts, 'yyyyMMddHHmmss'), '.translation.gkg.csv.zip')"
+    return _manifest(_table(spark, sf_dir, "events"), "event_id", name)
 
 
-def _manifest(table: DataFrame, key: str, url: Column) -> DataFrame:
-    text = F.concat_ws(" ", (F.col(key) % 1000 + 100).cast("string"), F.lit("md5"), url)
-    return table.select(F.from_csv(text, F.lit(MANIFEST_SCHEMA.simpleString()[7:-1].replace(":", " ")),
-                                   {"sep": " "}).alias("m")).select("m.*")
+def _manifest(table: DataFrame, key: str, name: str) -> DataFrame:
+    schema = ", ".join(f"{field} STRING" for field in MANIFEST_SCHEMA.names)
+    line = f"concat({key} % 1000 + 100, ' md5 http://feed.example/v2/', {name})"
+    return table.selectExpr(f"from_csv({line}, '{schema}', map('sep', ' ')) AS m").select("m.*")
 
 
 def arrived_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listing of the landing directory: some of the manifest's files are absent, some cut short."""
-    return _table(spark, sf_dir, "orders").where(~_every("o_orderkey", 10)).select(
-        F.concat(F.date_format("o_orderdate", "yyyyMMdd"), F.lpad(F.col("o_orderkey").cast("string"), 6, "0"),
-                 F.lit(".export.CSV.zip")).alias("name"),
-        (F.col("o_orderkey") % 1000 + F.when(_every("o_orderkey", 19), 99).otherwise(100)).alias("bytes"),
-    )
+    return _table(spark, sf_dir, "orders").where("o_orderkey % 10 <> 0").selectExpr(
+        f"{_NAME} AS name", "o_orderkey % 1000 + if(o_orderkey % 19 = 0, 99, 100) AS bytes")

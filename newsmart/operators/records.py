@@ -24,10 +24,8 @@ def _record(line: Column) -> Column:
     return F.rtrim(line, F.lit("\t"))  # trailing empty fields do not count
 
 
-def _field_count(line: Column) -> Column:
-    # Counted from the tabs: a size(split(…)) here would be evaluated again for the fields themselves.
-    record = _record(line)
-    return F.octet_length(record) - F.octet_length(F.replace(record, F.lit("\t"), F.lit(""))) + 1
+def _fields(line: Column) -> Column:
+    return F.split(_record(line), "\t")
 
 
 def _well_formed(kind: str, count: Column) -> Column:
@@ -36,7 +34,7 @@ def _well_formed(kind: str, count: Column) -> Column:
 
 
 def with_field_count(lines: DataFrame) -> DataFrame:
-    return lines.withColumn("n_fields", _field_count(F.col("line")))
+    return lines.withColumn("n_fields", F.size(_fields(F.col("line"))))
 
 
 def rejected_lines(lines: DataFrame, kind: str) -> DataFrame:
@@ -46,9 +44,10 @@ def rejected_lines(lines: DataFrame, kind: str) -> DataFrame:
 
 def _parse(lines: DataFrame, kind: str, fields, extra: dict[str, Column], keep: tuple[str, ...]) -> DataFrame:
     fewest, _ = FIELD_COUNT[kind]
+    # A one-row explode: filters on fields, here and later, then read ``f`` instead of splitting the line again.
     split = (
-        lines.where(_well_formed(kind, _field_count(F.col("line"))))
-        .select(*keep, F.split(_record(F.col("line")), "\t").alias("f"))
+        lines.select(*keep, F.explode(F.array(_fields(F.col("line")))).alias("f"))
+        .where(_well_formed(kind, F.size("f")))
     )
     # get(), not f[i]: the optimizer may evaluate a later filter on a field before the one on the field count.
     texts = (f"get(f, {i})" if i < fewest else f"coalesce(get(f, {i}), '')" for i in range(len(fields)))
