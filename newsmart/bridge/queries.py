@@ -127,12 +127,13 @@ def _tone_value(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _location_countries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _gkg(spark, sf_dir).select(
-        "GKGRECORDID", F.posexplode(fn.mentioned_countries(F.col("V2Locations"))).alias("position", "country"))
+        "GKGRECORDID", op.once(fn.mentioned_countries(F.col("V2Locations"))).alias("countries")).select(
+        "GKGRECORDID", F.posexplode("countries").alias("position", "country"))
 
 
 def _location_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     countries = _gkg(spark, sf_dir).select(
-        "GKGRECORDID", fn.mentioned_countries(F.col("V2Locations")).alias("countries"))
+        "GKGRECORDID", op.once(fn.mentioned_countries(F.col("V2Locations"))).alias("countries"))
     return op.explode_pairs(countries, "countries")
 
 

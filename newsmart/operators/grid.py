@@ -17,7 +17,6 @@ def month_grid(monthly: DataFrame, watchlist: tuple[str, ...], months: list[int]
     mean tone of the frame, article counts as a percentage of their spread; a cell without data gets bucket 5 and
     zeros. The cells come from the watch list alone, so the grid's size does not depend on the data.
     """
-    spark = monthly.sparkSession
     spread = monthly.agg(
         F.min("mean_tone").alias("low"),
         (F.max("mean_tone") - F.min("mean_tone")).alias("tone_range"),
@@ -36,8 +35,11 @@ def month_grid(monthly: DataFrame, watchlist: tuple[str, ...], months: list[int]
         for month in months for name in ("bucket", "size", "mean_tone", "n_articles")
     ))
     firsts, seconds = pair_members(watchlist)
-    cells = spark.createDataFrame(
-        [(one, other) for one in firsts for other in seconds], "country1 string, country2 string")
+    cells = (
+        monthly.sparkSession.range(0, 1, 1, 1)
+        .select(F.explode(F.lit(firsts)).alias("country1"))
+        .select("country1", F.explode(F.lit(seconds)).alias("country2"))
+    )
     defaults = {"bucket": NEUTRAL_BUCKET, "size": 0, "mean_tone": 0.0, "n_articles": 0}
     return cells.join(wide, ["country1", "country2"], "left").select(
         "country1", "country2",

@@ -11,6 +11,8 @@ from newsmart.functions import source_language
 from newsmart.functions.lenient import double_or_zero_sql, whole_or_zero_sql
 from newsmart.schemas import EVENT_FIELDS, FIELD_COUNT, GKG_FIELDS, MENTION_FIELDS
 
+from .once import once
+
 _READERS = {
     "s": lambda text: text,
     "i": lambda text: whole_or_zero_sql(text, "int"),
@@ -44,9 +46,8 @@ def rejected_lines(lines: DataFrame, kind: str) -> DataFrame:
 
 def _parse(lines: DataFrame, kind: str, fields, extra: dict[str, Column], keep: tuple[str, ...]) -> DataFrame:
     fewest, _ = FIELD_COUNT[kind]
-    # A one-row explode: filters on fields, here and later, then read ``f`` instead of splitting the line again.
     split = (
-        lines.select(*keep, F.explode(F.array(_fields(F.col("line")))).alias("f"))
+        lines.select(*keep, once(_fields(F.col("line"))).alias("f"))
         .where(_well_formed(kind, F.size("f")))
     )
     # get(), not f[i]: the optimizer may evaluate a later filter on a field before the one on the field count.

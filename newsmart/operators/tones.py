@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from newsmart.functions import first_tone, item_date_parts
 
+from .once import once
+
 
 def tone_by_item(gkg: DataFrame, listing: Column, item: str, skip_blank: bool = False,
                  calendar_months: bool = False) -> DataFrame:
@@ -17,7 +19,7 @@ def tone_by_item(gkg: DataFrame, listing: Column, item: str, skip_blank: bool =
     dated = gkg.select(
         item_date_parts(F.col("DATE"))["date"].alias("date"),
         F.col("SourceCommonName").alias("source"),
-        listing.alias("listing"),
+        once(listing).alias("listing"),
         first_tone("V2Tone", "float").alias("tone"),
     ).dropna(subset=["tone"])
     exploded = dated.select("date", "source", "tone", F.explode("listing").alias(item))

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from newsmart.functions import date_parts, first_tone, items, mentioned_countries
-from newsmart.operators import attach_per_key, best_mention, event_tally, explode_pairs, tone_by_item
+from newsmart.operators import attach_per_key, best_mention, event_tally, explode_pairs, once, tone_by_item
 from newsmart.operators.keys import HOT_ROWS
 
 
@@ -96,7 +96,7 @@ def country_pair_tone(gkg: DataFrame) -> DataFrame:
     articles = gkg.select(
         F.substring(F.col("DATE").cast("string"), 1, 8).alias("date"),
         first_tone("V2Tone", "double").alias("tone"),
-        mentioned_countries(F.col("V2Locations")).alias("countries"),
+        once(mentioned_countries(F.col("V2Locations"))).alias("countries"),
     )
     parts = date_parts(F.col("date"))
     return (
