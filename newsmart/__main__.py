@@ -2,6 +2,7 @@
 
     land --base URI --lake URI --period 201901 [--kind export …]
     mart --lake URI | --base URI  --period 2019 --out URI [--format csv] [querya …]
+    mart --lake URI --period 2019 --format CONNECTOR --mode append --option table={mart} [querya …]
 """
 
 from __future__ import annotations
@@ -27,8 +28,10 @@ def main(argv: list[str] | None = None) -> None:
     source.add_argument("--lake")
     source.add_argument("--base")
     mart.add_argument("--period", required=True)
-    mart.add_argument("--out", required=True)
+    mart.add_argument("--out", default="")
     mart.add_argument("--format", default="parquet")
+    mart.add_argument("--mode", default="overwrite")
+    mart.add_argument("--option", action="append", default=[], metavar="KEY=VALUE")
     mart.add_argument("names", nargs="*", metavar="mart", help=f"of {', '.join(BUILDERS)}; default all")
     args = parser.parse_args(argv)
 
@@ -40,7 +43,8 @@ def main(argv: list[str] | None = None) -> None:
         return
     records = (lake_records(spark, args.lake, args.period) if args.lake
                else archive_records(spark, args.base, args.period))
-    store_marts(records, args.names or list(BUILDERS), args.out, args.format)
+    options = dict(option.split("=", 1) for option in args.option)
+    store_marts(records, args.names or list(BUILDERS), args.out, args.format, args.mode, **options)
 
 
 if __name__ == "__main__":

@@ -35,7 +35,13 @@ def lake_records(spark: SparkSession, lake: str, period: str) -> Records:
     return lambda kind: read_lake(spark, lake, kind, period)
 
 
-def store_marts(records: Records, names: list[str], target: str, fmt: str = "parquet", **options: str) -> None:
-    """Build marts and write each to ``target/<name>``; every format takes every mart."""
+def store_marts(records: Records, names: list[str], target: str = "", fmt: str = "parquet", mode: str = "overwrite",
+                **options: str) -> None:
+    """Build marts and write each to ``target/<name>``; every format takes every mart.
+
+    A table connector needs options instead of a target; ``{mart}`` in one stands for the mart's name.
+    """
     for name in names:
-        write_mart(BUILDERS[name](records), name, f"{target.rstrip('/')}/{name}", fmt, **options)
+        write_mart(
+            BUILDERS[name](records), name, f"{target.rstrip('/')}/{name}" if target else "", fmt, mode,
+            **{key: value.format(mart=name) for key, value in options.items()})

@@ -42,9 +42,9 @@ def rows_of_country(mart: DataFrame, country: str) -> DataFrame:
 def country_series(mart_a: DataFrame, country: str, start: str, end: str) -> DataFrame:
     """One country's rows dated in [start, end), ISO dates.
 
-    The bounds are also put to the stored date, so that a scan can skip what lies outside.
+    The bounds are also put to the stored yyyyMMdd value, number or text, so that a scan can skip what lies outside.
     """
-    stored = F.col("sqldate").cast("string")
+    stored = F.col("sqldate")
     low, high = (bound.replace("-", "") for bound in (start, end))
     return (
         rows_of_country(mart_a, country)
