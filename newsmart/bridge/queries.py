@@ -203,7 +203,8 @@ QUERIES: dict[str, Query] = {
     "d_country_pairs": _mart_d,
     "d_monthly": lambda spark, d: _rounded(plans.monthly_pairs(_mart_d(spark, d)), "mean_tone"),
     "mart_counts": _mart_counts,
-    "mart_schema": lambda spark, d: sinks.to_mart_schema(_mart_d(spark, d), "queryd2"),
+    "mart_schema": lambda spark, d: sinks.to_mart_schema(_mart_d(spark, d), "queryd2").withColumn(
+        "mean_tone", F.col("mean_tone").cast("double")),
     "collapse_to_key": lambda spark, d: op.collapse_to_key(_mart_a(spark, d), ["sqldate", "country", "count"]),
     # serving
     "serve_a_day": _day,
@@ -211,7 +212,8 @@ QUERIES: dict[str, Query] = {
     "serve_a_topk_skip": lambda spark, d: plans.ranked_from_second(_day(spark, d), 5),
     "serve_a_choropleth": _choropleth,
     "serve_a_country": lambda spark, d: plans.rows_of_country(_mart_a(spark, d), COUNTRY),
-    "serve_a_series": lambda spark, d: plans.country_series(_mart_a(spark, d), COUNTRY, *SERIES),
+    "serve_a_series": lambda spark, d: plans.country_series(_mart_a(spark, d), COUNTRY, *SERIES).withColumn(
+        "day", F.col("day").cast("string")),
     "serve_b_country": lambda spark, d: plans.rows_of_country(_mart_b(spark, d), COUNTRY),
     "serve_c_item": lambda spark, d: plans.rows_of_item(plans.theme_tone(_gkg(spark, d)), "theme", THEME),
     "serve_d_pair": lambda spark, d: plans.rows_of_pair(_mart_d(spark, d), *PAIR),

@@ -263,7 +263,7 @@ def expected(day: str, country: str, series: tuple[str, str], pair: tuple[str, s
         "mart_counts": _with(_EVT, _MEN, _BEST, _A, _B, _ART, _LOC, _PAIR, _D) + """
             SELECT 'querya' AS mart, count(*) AS rows FROM mart_a UNION ALL SELECT 'queryb2', count(*) FROM mart_b
             UNION ALL SELECT 'queryd2', count(*) FROM mart_d""",
-        "mart_schema": _WITH_DS + "SELECT * FROM mart_d_stored",
+        "mart_schema": _WITH_DS + "SELECT * REPLACE (CAST(mean_tone AS DOUBLE) AS mean_tone) FROM mart_d_stored",
         "collapse_to_key": _WITH_A + """
             SELECT sqldate, country, count, max(language) AS language FROM mart_a GROUP BY 1, 2, 3""",
         # serving
@@ -274,7 +274,7 @@ def expected(day: str, country: str, series: tuple[str, str], pair: tuple[str, s
             SELECT country, count AS number_events FROM ({day_rows} {by_count} OFFSET 1)""",
         "serve_a_country": _WITH_A + f"SELECT * FROM mart_a WHERE country = '{country}'",
         "serve_a_series": _WITH_A + f"""
-            SELECT *, CAST(strptime(sqldate, '%Y%m%d') AS DATE) AS day FROM mart_a
+            SELECT *, strftime(strptime(sqldate, '%Y%m%d'), '%Y-%m-%d') AS day FROM mart_a
             WHERE country = '{country}' AND sqldate >= '{low}' AND sqldate < '{high}'""",
         "serve_b_country": _WITH_B + f"SELECT * FROM mart_b WHERE country = '{country}'",
         "serve_c_item": _with(_ART, _THEMES)
