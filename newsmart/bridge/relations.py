@@ -146,7 +146,7 @@ def _grid(watchlist, excluded, months) -> str:
     cells = ",\n".join(
         f"""coalesce(max(CASE WHEN month = {m} THEN bucket END), 5) AS bucket_{m},
         coalesce(max(CASE WHEN month = {m} THEN size END), 0) AS size_{m},
-        round(coalesce(max(CASE WHEN month = {m} THEN mean_tone END), 0.0), 4) AS mean_tone_{m},
+        round(coalesce(max(CASE WHEN month = {m} THEN mean_tone END), 0.0) + 1e-6, 4) AS mean_tone_{m},
         coalesce(max(CASE WHEN month = {m} THEN n_articles END), 0) AS n_articles_{m}"""
         for m in months)
     return _WITH_DS + f""",
@@ -256,7 +256,7 @@ def expected(day: str, country: str, series: tuple[str, str], pair: tuple[str, s
         "c_country": _with(_ART, _LOC, _COUNTRIES) + f"SELECT {_item_columns('country')} FROM mart_c",
         "d_country_pairs": _WITH_D + "SELECT * FROM mart_d",
         "d_monthly": _WITH_D + """
-            SELECT country1, country2, month, round(avg(mean_tone), 4) AS mean_tone,
+            SELECT country1, country2, month, round(avg(mean_tone) + 1e-6, 4) AS mean_tone,
                    CAST(sum(n_articles) AS BIGINT) AS n_articles,
                    sum(tone_sum) / nullif(sum(n_articles), 0) AS weighted_tone
             FROM mart_d GROUP BY 1, 2, 3""",
@@ -282,7 +282,7 @@ def expected(day: str, country: str, series: tuple[str, str], pair: tuple[str, s
         "serve_d_pair": _WITH_D
             + f"SELECT * FROM mart_d WHERE country1 = '{pair[0]}' AND country2 = '{pair[1]}'",
         "d_monthly_top": _WITH_D + f"""
-            SELECT country1, country2, month, round(avg(mean_tone), 4) AS mean_tone,
+            SELECT country1, country2, month, round(avg(mean_tone) + 1e-6, 4) AS mean_tone,
                    CAST(sum(n_articles) AS BIGINT) AS n_articles,
                    sum(tone_sum) / nullif(sum(n_articles), 0) AS weighted_tone
             FROM mart_d WHERE {_excluded(excluded)} GROUP BY 1, 2, 3""",

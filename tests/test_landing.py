@@ -1,7 +1,10 @@
 from pathlib import Path
 
+import pytest
+
 from archives import write_zip
 from newsmart import plans
+from newsmart.__main__ import main
 from newsmart.operators import parse_events
 from newsmart.plans.jobs import archive_records, lake_records, store_marts
 from newsmart.plans.landing import land_period, read_lake
@@ -125,3 +128,22 @@ def test_archives_to_stored_marts(spark, tmp_path):
         store_marts(records, list(MARTS), target)
         for name, rows in expected.items():
             assert {tuple(r) for r in read_mart(spark, f"{target}/{name}", name).collect()} == rows, name
+
+
+def test_command_line(spark, tmp_path, capsys):
+    base, lake, out = tmp_path / "in", str(tmp_path / "lake"), str(tmp_path / "out")
+    base.mkdir()
+    write_zip(base / "20190101000000.export.CSV.zip", _event_line(1, "20190101"), _event_line(2, "20190101", "US"))
+    write_zip(base / "20190101000000.mentions.CSV.zip", _mention_line(1, 20, "srclc:deu;e:x"))
+    main(["land", "--base", str(base), "--lake", lake, "--period", "2019", "--kind", "export", "mentions"])
+    assert capsys.readouterr().out.splitlines() == ["export: 1 days written", "mentions: 1 days written"]
+
+    want = {(20190101, "FR", "deu", 1), (20190101, "US", None, 1)}
+    main(["mart", "--lake", lake, "--period", "201901", "--out", out, "querya"])
+    assert {tuple(r) for r in read_mart(spark, f"{out}/querya", "querya").collect()} == want
+    main(["mart", "--base", str(base), "--period", "201901", "--out", f"{out}-csv", "--format", "csv", "querya"])
+    assert {tuple(r) for r in read_mart(spark, f"{out}-csv/querya", "querya", "csv").collect()} == want
+    # a format that takes options and no path
+    main(["mart", "--lake", lake, "--period", "201901", "--format", "noop", "--option", "table={mart}", "querya"])
+    with pytest.raises(SystemExit):
+        main(["mart", "--period", "2019", "--out", out])
