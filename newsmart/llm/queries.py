@@ -5,8 +5,10 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from .minhash import near_duplicates
 from .packing import pack_documents
 from .scratch import Scratch
+from .vectors import near_vectors
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,8 +25,60 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_with_public_tokenizer(_table(spark, sf_dir, "documents"))
 
 
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
+def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents"), words=2)
+
+
 QUERIES = {
     "op1_packing": op1_packing,
+    "op3_embedding_dedup": op3_embedding_dedup,
+    "op10_minhash": op10_minhash,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op3_embedding_dedup": """
+        WITH RECURSIVE vectors AS (
+            SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+        links AS (
+            SELECT x.vec_id AS a, y.vec_id AS b FROM vectors x JOIN vectors y ON x.vec_id <> y.vec_id
+            WHERE list_dot_product(x.e, y.e) >= 0.95 * sqrt(list_dot_product(x.e, x.e) * list_dot_product(y.e, y.e))),
+        reach AS (
+            SELECT vec_id AS node, vec_id AS seen FROM embeddings
+            UNION SELECT reach.node, links.b FROM reach JOIN links ON links.a = reach.seen),
+        counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+        SELECT vec_id, coalesce(n, 0) AS n_links, c AS component_id, vec_id = c AS kept
+        FROM embeddings LEFT JOIN counts ON a = vec_id
+        JOIN (SELECT node, min(seen) AS c FROM reach GROUP BY node) ON node = vec_id
+    """,
+    "op10_minhash": r"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id, list_filter(regexp_split_to_array(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+            FROM documents),
+        shingles AS (
+            SELECT DISTINCT doc_id, unnest(CASE
+                WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN [w[1]]
+                ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS s
+            FROM words),
+        sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+        shared AS (
+            SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n
+            FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL),
+        links AS (
+            SELECT a, b FROM shared JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+            WHERE 100 * shared.n >= 80 * (p.n + q.n - shared.n)),
+        reach AS (
+            SELECT doc_id AS node, doc_id AS seen FROM documents
+            UNION SELECT reach.node, links.b FROM reach JOIN links ON links.a = reach.seen)
+        SELECT doc_id, coalesce(n, 0) AS n_shingles, c AS component_id, doc_id = c AS kept
+        FROM documents LEFT JOIN sizes USING (doc_id)
+        JOIN (SELECT node, min(seen) AS c FROM reach GROUP BY node) ON node = doc_id
+    """,
+}
