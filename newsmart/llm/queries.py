@@ -9,6 +9,7 @@ from .minhash import near_duplicates
 from .packing import pack_documents
 from .scratch import Scratch
 from .vectors import near_vectors
+from .warc import archive_pages
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +26,11 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_with_public_tokenizer(_table(spark, sf_dir, "documents"))
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_pages(_table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(_table(spark, sf_dir, "embeddings"))
 
@@ -35,11 +41,26 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_packing": op1_packing,
+    "op2_warc": op2_warc,
     "op3_embedding_dedup": op3_embedding_dedup,
     "op10_minhash": op10_minhash,
 }
 
 SQL: dict[str, str] = {
+    "op2_warc": """
+        WITH payloads AS (
+            SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+                   sha256(coalesce(html, '')) AS payload_digest
+            FROM pages),
+        firsts AS (
+            SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest)
+                           ELSE page_id END AS first
+            FROM payloads)
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> first THEN first END AS refers_to
+        FROM firsts
+    """,
     "op3_embedding_dedup": """
         WITH RECURSIVE vectors AS (
             SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
