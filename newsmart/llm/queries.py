@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .minhash import near_duplicates
+from .neighbours import nearest_neighbours
 from .packing import pack_documents
 from .scratch import Scratch
 from .vectors import near_vectors
@@ -35,6 +36,11 @@ def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(_table(spark, sf_dir, "embeddings"))
 
 
+def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    embeddings = _table(spark, sf_dir, "embeddings")
+    return nearest_neighbours(embeddings, embeddings.where(F.col("vec_id") % 20 == 0))
+
+
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), words=2)
 
@@ -43,6 +49,7 @@ QUERIES = {
     "op1_packing": op1_packing,
     "op2_warc": op2_warc,
     "op3_embedding_dedup": op3_embedding_dedup,
+    "op5_neighbours": op5_neighbours,
     "op10_minhash": op10_minhash,
 }
 
