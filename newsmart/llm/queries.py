@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .lines import without_repeated_lines
 from .minhash import near_duplicates
 from .neighbours import nearest_neighbours
 from .packing import pack_documents
@@ -36,6 +37,10 @@ def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(_table(spark, sf_dir, "embeddings"))
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return without_repeated_lines(_table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_dropped", "text")
+
+
 def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     embeddings = _table(spark, sf_dir, "embeddings")
     return nearest_neighbours(embeddings, embeddings.where(F.col("vec_id") % 20 == 0))
@@ -49,6 +54,7 @@ QUERIES = {
     "op1_packing": op1_packing,
     "op2_warc": op2_warc,
     "op3_embedding_dedup": op3_embedding_dedup,
+    "op4_line_dedup": op4_line_dedup,
     "op5_neighbours": op5_neighbours,
     "op10_minhash": op10_minhash,
 }
