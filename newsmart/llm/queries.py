@@ -7,8 +7,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .lines import without_repeated_lines
 from .minhash import near_duplicates
+from .mixing import mix
 from .neighbours import nearest_neighbours
 from .packing import pack_documents
+from .placement import place_documents
 from .scratch import Scratch
 from .vectors import near_vectors
 from .warc import archive_pages
@@ -46,6 +48,14 @@ def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest_neighbours(embeddings, embeddings.where(F.col("vec_id") % 20 == 0))
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(_table(spark, sf_dir, "documents")).withColumn("probability", F.round("probability", 4))
+
+
+def op7_placement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return place_documents(_table(spark, sf_dir, "documents")).select("doc_id", "slot", "shard")
+
+
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), words=2)
 
@@ -56,6 +66,8 @@ QUERIES = {
     "op3_embedding_dedup": op3_embedding_dedup,
     "op4_line_dedup": op4_line_dedup,
     "op5_neighbours": op5_neighbours,
+    "op6_mixing": op6_mixing,
+    "op7_placement": op7_placement,
     "op10_minhash": op10_minhash,
 }
 
@@ -90,6 +102,47 @@ SQL: dict[str, str] = {
         FROM embeddings LEFT JOIN counts ON a = vec_id
         JOIN (SELECT node, min(seen) AS c FROM reach GROUP BY node) ON node = vec_id
     """,
+    "op6_mixing": r"""
+        WITH RECURSIVE docs AS (
+            SELECT doc_id, coalesce(source, 'unknown') AS source, coalesce(lang, 'unknown') AS lang,
+                   CASE WHEN length(text) - length(translate(text, '|', '')) > 0.02 * length(text) THEN 'table'
+                        WHEN length(text) - length(translate(text, '0123456789', '')) > 0.05 * length(text) THEN 'figures'
+                        WHEN length(text) - length(translate(text, '!*#$%&', '')) > 0.02 * length(text) THEN 'shouting'
+                        ELSE 'prose' END AS topic,
+                   coalesce(len(regexp_extract_all(text, '\S+')), 0) AS tokens
+            FROM documents),
+        cells AS (
+            SELECT source, lang, topic, sum(tokens)::DOUBLE AS tokens FROM docs GROUP BY ALL HAVING sum(tokens) > 0),
+        by_source AS (SELECT source, sqrt(sum(tokens)) AS s FROM cells GROUP BY source),
+        by_lang AS (SELECT lang, sqrt(sum(tokens)) AS l FROM cells GROUP BY lang),
+        by_topic AS (SELECT topic, sqrt(sum(tokens)) AS t FROM cells GROUP BY topic),
+        whole AS (SELECT sum(tokens) AS total FROM cells),
+        wanted AS (
+            SELECT cells.*, total * s / (SELECT sum(s) FROM by_source) AS ws,
+                   total * l / (SELECT sum(l) FROM by_lang) AS wl, total * t / (SELECT sum(t) FROM by_topic) AS wt
+            FROM cells JOIN by_source USING (source) JOIN by_lang USING (lang) JOIN by_topic USING (topic), whole),
+        raked AS (
+            SELECT 0 AS round, *, tokens AS w FROM wanted
+            UNION ALL
+            SELECT round + 1, source, lang, topic, tokens, ws, wl, wt, w2 * wt / sum(w2) OVER (PARTITION BY topic)
+            FROM (SELECT *, w1 * wl / sum(w1) OVER (PARTITION BY lang) AS w2
+                  FROM (SELECT *, w * ws / sum(w) OVER (PARTITION BY source) AS w1 FROM raked WHERE round < 60))),
+        rated AS (
+            SELECT *, w / tokens AS rate,
+                   coalesce(sum(tokens) OVER before, 0) AS whole_before,
+                   sum(w) OVER () - coalesce(sum(w) OVER before, 0) AS open
+            FROM raked WHERE round = 60
+            WINDOW before AS (ORDER BY w / tokens DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+        scaled AS (
+            SELECT (0.5 * total - whole_before) / open AS scale FROM rated, whole
+            WHERE rate * (0.5 * total - whole_before) / open < 1 ORDER BY rate DESC LIMIT 1),
+        plan AS (SELECT source, lang, topic, least(rate * scale, 1.0) AS probability FROM rated, scaled),
+        joined AS (
+            SELECT docs.*, CASE WHEN docs.tokens = 0 THEN 1.0 ELSE coalesce(probability, 0.0) END AS p,
+                   ('0x' || substr(md5(doc_id::VARCHAR || ':1'), 1, 13))::BIGINT / 4503599627370496.0 AS u
+            FROM docs LEFT JOIN plan USING (source, lang, topic))
+        SELECT doc_id, source, lang, topic, tokens, round(p, 4) AS probability, u < p AS kept FROM joined
+    """,
     "op10_minhash": r"""
         WITH RECURSIVE words AS (
             SELECT doc_id, list_filter(regexp_split_to_array(
