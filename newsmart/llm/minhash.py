@@ -6,7 +6,8 @@
    never with the square of a bucket. Candidates pass a signature test, then are confirmed on full sets.
 4. Connected components by large-star and small-star steps.
 5. A pair inside one bucket needs no look when both are in one component already. What is left, pairs in a bucket
-   whose documents are in different components, is compared in full and the components are taken again.
+   whose documents are in different components, is compared on full sets inside blocks of bounded size, which
+   return one spanning link per document and never a list of pairs. Then components are taken again.
 
 Sets are not stored for all documents: they are made again for the documents of candidate pairs.
 """
@@ -18,9 +19,12 @@ import math
 from pyspark.sql import DataFrame, functions as F
 
 from .components import connected_components
+from .groups import gathered, paired_blocks, runs
 from .scratch import Scratch
 
 BANDS, ROWS = 25, 5  # a pair at similarity 0.8 shares a band with probability 0.99995
+BLOCK = 1024
+BROADCAST_IDS = 500_000  # at most 4 MB of document ids
 
 
 def sketch(docs: DataFrame, words: int, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -79,9 +83,14 @@ def _with_both(pairs: DataFrame, values: DataFrame, name: str) -> DataFrame:
     return pairs
 
 
+def _agreements(similarity: float, hashes: int = BANDS * ROWS) -> int:
+    """How many minima a pair at ``similarity`` shares, less four and a half deviations."""
+    return math.floor(hashes * similarity - 4.5 * math.sqrt(hashes * similarity * (1 - similarity)))
+
+
 def likely(pairs: DataFrame, signatures: DataFrame, similarity: float, hashes: int = BANDS * ROWS) -> DataFrame:
-    """Pairs whose signatures agree as often as a pair at ``similarity`` does, less four and a half deviations."""
-    least = math.floor(hashes * similarity - 4.5 * math.sqrt(hashes * similarity * (1 - similarity)))
+    """Pairs whose signatures agree often enough."""
+    least = _agreements(similarity)
 
     def agreeing(batches):
         import numpy as np
@@ -97,8 +106,8 @@ def likely(pairs: DataFrame, signatures: DataFrame, similarity: float, hashes: i
     return _with_both(pairs, signatures, "signature").mapInArrow(agreeing, "a long, b long")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int, scratch: Scratch) -> DataFrame:
-    """Pairs with 100 * |intersection| >= percent * |union| of their full shingle sets."""
+def shingles_of(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
+    """(doc_id, shingles) of the documents in ``ids`` (doc_id), which are broadcast when they are counted to be few."""
     def sets(batches):
         import pyarrow as pa
 
@@ -110,6 +119,13 @@ def confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int, scrat
                  pa.array([shingle_set(text.as_py(), words).tobytes() for text in batch.column("text")], pa.binary())],
                 names=["doc_id", "shingles"])
 
+    wanted = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(
+        wanted, "doc_id", "left_semi").mapInArrow(sets, "doc_id long, shingles binary")
+
+
+def confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int, scratch: Scratch) -> DataFrame:
+    """Pairs with 100 * |intersection| >= percent * |union| of their full shingle sets."""
     def similar(batches):
         import numpy as np
         import pyarrow as pa
@@ -122,16 +138,68 @@ def confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int, scrat
                 keep.append(100 * shared >= percent * (len(one) + len(other) - shared))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    wanted = pairs.select(F.col("a").alias("doc_id")).unionAll(pairs.select("b")).distinct()
-    shingles = scratch.keep(
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id", "left_semi")
-        .mapInArrow(sets, "doc_id long, shingles binary"), "sets")
+    ids = scratch.keep(pairs.select(F.col("a").alias("doc_id")).unionAll(pairs.select("b")).distinct(), "ids")
+    shingles = scratch.keep(shingles_of(docs, ids, words), "sets")
     links = scratch.keep(_with_both(pairs, shingles, "shingles").mapInArrow(similar, "a long, b long").distinct(),
                          "links")
-    scratch.drop(shingles)
+    scratch.drop(shingles, ids)
     return links
 
 
+def _confirmed_in_blocks(members: DataFrame, sketches: DataFrame, docs: DataFrame, words: int, percent: int,
+                         scratch: Scratch, hashes: int = BANDS * ROWS) -> DataFrame:
+    """Spanning links (a, b) among members (key, doc_id, component) of a bucket that are in different components."""
+    least = _agreements(percent / 100)
+
+    def compare(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        from newsmart.llm.groups import least_linked
+
+        for run in runs(batches, "key", "one", "other"):
+            key, first, second = (run.column(name)[0].as_py() for name in ("key", "one", "other"))
+            ids, component, mine = (run.column(name).to_numpy() for name in ("doc_id", "component", "mine"))
+            size = len(ids)
+            bands = run.column("bands").combine_chunks().flatten().to_numpy().reshape(size, -1)
+            signatures = np.frombuffer(
+                b"".join(x.as_buffer() for x in run.column("signature")), np.uint16).reshape(size, hashes)
+            sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in run.column("shingles")]
+            lengths = np.array([len(x) for x in sets])
+            starts = np.concatenate([[0], np.cumsum(lengths)])
+            known, codes = np.unique(np.concatenate(sets), return_inverse=True)
+            # A pair counts in the first band in which it meets.
+            band = int(np.flatnonzero(bands[0] == key)[0])
+            flags = np.zeros(len(known), bool)
+            left = np.flatnonzero(mine == first)
+            right = left if first == second else np.flatnonzero(mine == second)
+            a, b = [], []
+            for x in left:
+                y = right[right > x] if first == second else right
+                y = y[component[y] != component[x]]
+                y = y[(signatures[y] == signatures[x]).sum(axis=1) >= least]
+                y = y[~(bands[y, :band] == bands[x, :band]).any(axis=1)]
+                if not len(y):
+                    continue
+                flags[codes[starts[x]:starts[x + 1]]] = True
+                places = np.concatenate([codes[starts[at]:starts[at + 1]] for at in y])
+                shared = np.add.reduceat(flags[places].astype(np.int64), np.cumsum(lengths[y]) - lengths[y])
+                flags[codes[starts[x]:starts[x + 1]]] = False
+                y = y[100 * shared >= percent * (lengths[x] + lengths[y] - shared)]
+                a.append(np.full(len(y), x))
+                b.append(y)
+            if sum(map(len, a)):
+                root = least_linked(ids, np.concatenate(a), np.concatenate(b))
+                new = root != ids
+                yield pa.record_batch([pa.array(ids[new]), pa.array(root[new])], names=["a", "b"])
+
+    described = sketches.join(
+        scratch.keep(shingles_of(docs, scratch.keep(members.select("doc_id").distinct(), "ids"), words), "sets"), "doc_id")
+    rows = paired_blocks(members, ["key"], "doc_id", BLOCK).join(described, "doc_id").where(
+        F.array_contains("bands", F.col("key")))  # of a repeated doc_id, the sketches that are in this bucket
+    return gathered(rows, "key", "one", "other").mapInArrow(compare, "a long, b long").distinct()
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, scratch: Scratch | None = None) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs`` (doc_id, text; other columns are ignored).
 
@@ -146,6 +214,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, scratch:
     classes = known.groupBy("d1", "d2").agg(F.min("doc_id").alias("least"))
     same = known.select("doc_id", "d1", "d2").join(classes, ["d1", "d2"]).where("doc_id <> least").select(
         F.col("doc_id").alias("a"), F.col("least").alias("b")).distinct()
+    # Of rows that repeat a doc_id with other texts, each has its own sketch.
     least = scratch.keep(
         known.join(classes, ["d1", "d2"]).where("doc_id = least").select("doc_id", "bands", "signature")
         .dropDuplicates(["doc_id", "bands"]), "classes")
@@ -167,15 +236,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, scratch:
     mixed = placed.groupBy("key").agg(F.min("component").alias("one"), F.max("component").alias("other")).where(
         "one < other").select("key")
     left = scratch.keep(placed.join(mixed, "key", "left_semi"), "mixed")
-    crossing = (
-        left.alias("x").join(left.alias("y"), "key")
-        .where("x.doc_id < y.doc_id AND x.component <> y.component")
-        .select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")).distinct()
-    )
-    rest = scratch.keep(likely(crossing, signatures, percent / 100), "likely")
-    if rest.take(1):
-        labels = connected_components(
-            edges.unionAll(confirmed(rest, docs, words, percent, scratch)), scratch)
+    if left.take(1):
+        crossing = _confirmed_in_blocks(left, least, docs, words, percent, scratch)
+        labels = connected_components(edges.unionAll(crossing), scratch)
     scratch.drop(least, members, left)
     return (
         sketches.select("doc_id", "n_shingles")

@@ -5,12 +5,14 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .language import fit, identify
 from .lines import without_repeated_lines
 from .minhash import near_duplicates
 from .mixing import mix
 from .neighbours import nearest_neighbours
 from .packing import pack_documents
 from .placement import place_documents
+from .quality import quality_scores
 from .scratch import Scratch
 from .vectors import near_vectors
 from .warc import archive_pages
@@ -56,6 +58,15 @@ def op7_placement(spark: SparkSession, sf_dir: str) -> DataFrame:
     return place_documents(_table(spark, sf_dir, "documents")).select("doc_id", "slot", "shard")
 
 
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return identify(docs, fit(docs))
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), words=2)
 
@@ -68,6 +79,8 @@ QUERIES = {
     "op5_neighbours": op5_neighbours,
     "op6_mixing": op6_mixing,
     "op7_placement": op7_placement,
+    "op8_language": op8_language,
+    "op9_quality": op9_quality,
     "op10_minhash": op10_minhash,
 }
 
