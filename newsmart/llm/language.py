@@ -8,9 +8,11 @@ of labelled rows; prediction reads whole texts in one pass and moves nothing bet
 from __future__ import annotations
 
 from collections import defaultdict
+from collections.abc import Iterator
 from itertools import combinations
 
-from pyspark.sql import DataFrame, functions as F
+import pandas as pd
+from pyspark.sql import Column, DataFrame, functions as F
 
 SAMPLE_ROWS = 2000  # labelled rows the machines are fitted on, about; shared evenly by the languages
 FEATURES = 4096
@@ -96,8 +98,6 @@ def fit(docs: DataFrame, rows: int = SAMPLE_ROWS, features: int = FEATURES) -> d
     def vectors(batches):
         import pyarrow as pa
 
-        from newsmart.llm.language import make_featurizer
-
         featurize = make_featurizer(features)
         for batch in batches:
             made = [featurize(text.as_py()) for text in batch.column("text")]
@@ -127,21 +127,15 @@ def fit(docs: DataFrame, rows: int = SAMPLE_ROWS, features: int = FEATURES) -> d
     return {"families": families}
 
 
-def identify(docs: DataFrame, model: dict, features: int = FEATURES) -> DataFrame:
-    """(doc_id, held_out, lang_pred, score) per row of ``docs`` (doc_id, text).
+def language_column(text: Column, model: dict, features: int = FEATURES) -> Column:
+    """struct(lang_pred, score) of whole texts by ``model``.
 
     ``score`` is the chance given to the family times the least chance given to the language in its duels, both by
-    the logistic function of the machines' margins.
-
-    Defined cases: a null or empty text, or one without a letter, is "und" with score 0, as is every text when
-    nothing could be learned; held_out is false without doc_id. Ties go to the first language by name. Repeated rows
-    are each predicted; other columns are ignored; an empty table gives no rows.
+    the logistic function of the machines' margins. A text without a letter, or any text when nothing could be
+    learned, is "und" with score 0. Ties go to the first language by name.
     """
-    def predict(batches):
+    def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         import numpy as np
-        import pyarrow as pa
-
-        from newsmart.llm.language import make_featurizer
 
         featurize = make_featurizer(features)
         families = model["families"]
@@ -154,26 +148,39 @@ def identify(docs: DataFrame, model: dict, features: int = FEATURES) -> DataFram
             vector = featurize(text)
             if vector is None or by_family is None:
                 return UNDETERMINED, 0.0
-            margins = by_family[:, :-1] @ vector + by_family[:, -1]
-            best = int(np.argmax(margins))
-            parts = chance(margins)
-            score = parts[best] / parts.sum()
+            parts = chance(by_family[:, :-1] @ vector + by_family[:, -1])
+            best = int(np.argmax(parts))
             _, _, languages, pairs = families[best]
-            votes, doubt = dict.fromkeys(languages, 0.0), dict.fromkeys(languages, 1.0)
+            votes, doubt = dict.fromkeys(languages, 0), dict.fromkeys(languages, 1.0)
             for (one, other), weights in pairs.items():
                 part = chance(weights[:-1] @ vector + weights[-1])
                 votes[one if part >= 0.5 else other] += 1
                 doubt[one], doubt[other] = min(doubt[one], part), min(doubt[other], 1 - part)
             language = max(languages, key=lambda name: (votes[name], doubt[name]))
-            return language, float(score * doubt[language])
+            return language, float(parts[best] / parts.sum() * doubt[language])
 
-        for batch in batches:
-            made = [predicted(text.as_py()) for text in batch.column("text")]
-            yield pa.record_batch(
-                [batch.column("doc_id"), batch.column("held_out"), pa.array([x for x, _ in made], pa.string()),
-                 pa.array([x for _, x in made], pa.float64())], names=["doc_id", "held_out", "lang_pred", "score"])
+        for texts in batches:
+            yield pd.DataFrame([predicted(text) for text in texts], columns=["lang_pred", "score"])
 
+    return F.pandas_udf(predict, "lang_pred string, score double")(text)
+
+
+def identify(docs: DataFrame, model: dict) -> DataFrame:
+    """(doc_id, held_out, lang_pred, score) per row of ``docs`` (doc_id, text).
+
+    Defined cases: a null or empty text, or one without a letter, is "und" with score 0, as is every text when
+    nothing could be learned; held_out is false without doc_id. Repeated rows are each predicted; other columns are
+    ignored; an empty table gives no rows.
+    """
+    held_out = F.expr("coalesce(pmod(crc32(CAST(CAST(doc_id AS STRING) AS BINARY)), 4) = 2, false)")
     return docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.expr("coalesce(pmod(crc32(CAST(CAST(doc_id AS STRING) AS BINARY)), 4) = 2, false)").alias("held_out"), "text",
-    ).mapInArrow(predict, "doc_id long, held_out boolean, lang_pred string, score double")
+        F.col("doc_id").cast("long").alias("doc_id"), held_out.alias("held_out"),
+        language_column(F.col("text"), model).alias("found"),
+    ).select("doc_id", "held_out", "found.lang_pred", "found.score")
+
+
+def identified(docs: DataFrame, model: dict, least_score: float = 0.2) -> DataFrame:
+    """The rows of ``docs`` whose language is found with ``least_score``, with their own columns."""
+    found = docs.withColumn("__found", language_column(F.col("text"), model))
+    return found.where((F.col("__found.lang_pred") != UNDETERMINED) & (F.col("__found.score") >= least_score)).select(
+        *docs.columns)

@@ -19,8 +19,9 @@ import math
 from pyspark.sql import DataFrame, functions as F
 
 from .components import connected_components
-from .groups import gathered, paired_blocks, runs
+from .groups import gathered, least_linked, paired_blocks, runs
 from .scratch import Scratch
+from .shingles import mixed, shingle_set
 
 BANDS, ROWS = 25, 5  # a pair at similarity 0.8 shares a band with probability 0.99995
 BLOCK = 1024
@@ -34,8 +35,6 @@ def sketch(docs: DataFrame, words: int, bands: int = BANDS, rows: int = ROWS) ->
         import pyarrow as pa
         import xxhash
 
-        from newsmart.llm.shingles import mixed, shingle_set
-
         draws = np.random.default_rng(20240229).integers(0, 1 << 63, size=(2, bands * rows), dtype=np.uint64)
         factor, shift = (draws[0] << np.uint64(1) | np.uint64(1))[:, None], draws[1][:, None]
         weights = mixed(np.arange(1, rows + 1, dtype=np.uint64)) | np.uint64(1)
@@ -111,8 +110,6 @@ def shingles_of(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
     def sets(batches):
         import pyarrow as pa
 
-        from newsmart.llm.shingles import shingle_set
-
         for batch in batches:
             yield pa.record_batch(
                 [batch.column("doc_id"),
@@ -155,8 +152,6 @@ def _confirmed_in_blocks(members: DataFrame, sketches: DataFrame, docs: DataFram
         import numpy as np
         import pyarrow as pa
 
-        from newsmart.llm.groups import least_linked
-
         for run in runs(batches, "key", "one", "other"):
             key, first, second = (run.column(name)[0].as_py() for name in ("key", "one", "other"))
             ids, component, mine = (run.column(name).to_numpy() for name in ("doc_id", "component", "mine"))
@@ -246,3 +241,17 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, scratch:
         .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
         .withColumn("kept", F.col("component_id").eqNullSafe(F.col("doc_id")))
     )
+
+
+def without_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80,
+                            scratch: Scratch | None = None) -> DataFrame:
+    """``docs`` without the documents that are not the first of their group, with their own columns.
+
+    Rows that repeat a doc_id are one document and stay or go together; rows without doc_id stay.
+    """
+    scratch = scratch or Scratch(docs.sparkSession)
+    gone = scratch.keep(
+        near_duplicates(docs, words, percent, scratch).where("NOT kept").select(F.col("doc_id").alias("__gone"))
+        .distinct(), "gone")
+    listed = F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone
+    return docs.join(listed, F.col("doc_id").cast("long") == F.col("__gone"), "left_anti")

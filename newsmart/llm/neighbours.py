@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from .groups import gathered, runs
-from .hnsw import BREADTH, LINKS
+from .hnsw import BREADTH, LINKS, build as build_graph, search as search_graph
 from .scratch import Scratch
 from .vectors import usable
 
@@ -44,15 +44,13 @@ def build_index(embeddings: DataFrame, scratch: Scratch, k: int = 20, shard_rows
         import numpy as np
         import pyarrow as pa
 
-        from newsmart.llm import hnsw
-
         for run in runs(batches, "shard"):
             run = run.take(np.argsort([ids[0].as_py() for ids in run.column("ids")], kind="stable"))
             size = len(run.column("embedding")[0])
             vectors = run.column("embedding").combine_chunks().flatten().to_numpy().reshape(-1, size)
             members = run.column("ids").to_pylist()
             owners = np.repeat(np.arange(len(members)), [len(ids) for ids in members])
-            layers = hnsw.build(vectors, links, breadth)
+            layers = build_graph(vectors, links, breadth)
             yield pa.record_batch([
                 run.column("shard").combine_chunks()[:1], pa.array([size], pa.int32()),
                 pa.array([vectors.astype("<f4").tobytes()]), pa.array([owners.astype("<i4").tobytes()]),
@@ -93,8 +91,6 @@ def search_index(index: DataFrame, shards: int, queries: DataFrame, k: int = 20,
         import numpy as np
         import pyarrow as pa
 
-        from newsmart.llm import hnsw
-
         for run in runs(batches, "shard", "block"):
             kinds = run.column("kind").to_numpy()
             if kinds.min() or not kinds.max():
@@ -109,7 +105,7 @@ def search_index(index: DataFrame, shards: int, queries: DataFrame, k: int = 20,
             mine = run.filter(pa.array(kinds == 1))
             names = mine.column("vec_id").to_numpy()
             points = mine.column("embedding").combine_chunks().flatten().to_numpy().reshape(-1, size)
-            found = hnsw.search(vectors, layers, points, max(breadth, k + 1))
+            found = search_graph(vectors, layers, points, max(breadth, k + 1))
             out = [[], [], []]
             for name, point, near in zip(names, points.astype(np.float64), found):
                 near = near[near >= 0]

@@ -71,6 +71,12 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), words=2)
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_warc": op2_warc,
@@ -82,6 +88,7 @@ QUERIES = {
     "op8_language": op8_language,
     "op9_quality": op9_quality,
     "op10_minhash": op10_minhash,
+    "pipeline": pipeline,
 }
 
 SQL: dict[str, str] = {

@@ -101,8 +101,6 @@ def write_archives(linked: DataFrame, folder: str, scratch: Scratch, date: str =
         import zstandard
         from pyarrow import fs
 
-        from newsmart.llm.warc import build_dictionary, serialize
-
         system, base = fs.FileSystem.from_uri(folder)
         system.create_dir(base, recursive=True)
 
