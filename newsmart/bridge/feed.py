@@ -9,23 +9,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from newsmart.schemas import MANIFEST_SCHEMA
+from newsmart.schemas import EVENT_FIELDS, GKG_FIELDS, MANIFEST_SCHEMA, MENTION_FIELDS
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _line(width: int, fields: dict[int, str]) -> str:
-    """Tab-separated fields as one SQL expression; a run of empty fields is one literal."""
-    parts, gap = [], 0
-    for i in range(width):
-        if i in fields:
-            parts += ["'" + "\\t" * gap + "'"] if gap else []
-            parts.append(fields[i])
-            gap = 0
-        gap += i < width - 1
-    return f"concat({', '.join(parts)}" + (", '" + "\\t" * gap + "')" if gap else ")")
+def _line(layout, key: str, fields: dict[int, str]) -> str:
+    """Tab-separated fields as one SQL expression. A field without a rule of its own holds a value that tells its place."""
+    filler = {"s": "'f{0}-', {1} % 7", "i": "{1} % 1000 + {0}", "l": "{1} % 1000 + {0}", "n": "{1} % 1000 + {0}",
+              "d": "{1} % 100 + {0}, '.5'"}
+    texts = (fields.get(at, filler[kind].format(at, key)) for at, (_, kind) in enumerate(layout))
+    return f"concat({", '\\t', ".join(texts)})"
 
 
 def _emit(table: DataFrame, line: str, copies: str = "1") -> DataFrame:
@@ -36,7 +32,7 @@ def _emit(table: DataFrame, line: str, copies: str = "1") -> DataFrame:
 def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event lines: three copies for every 97th order; a blank url, or a field too many, in some."""
     date, price = "date_format(o_orderdate, 'yyyyMMdd')", "CAST(o_totalprice AS STRING)"
-    line = _line(61, {
+    line = _line(EVENT_FIELDS, "o_orderkey", {
         0: "o_orderkey",
         1: date,
         2: "date_format(o_orderdate, 'yyyyMM')",
@@ -61,7 +57,7 @@ def mention_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     stamp = "date_format(l_shipdate, 'yyyyMMddHHmmss')"
     language = """CASE WHEN l_suppkey % 13 = 0 THEN ';' WHEN l_returnflag = 'N' THEN ''
         WHEN l_returnflag = 'A' THEN 'srclc:a;eng:m' WHEN l_linestatus = 'F' THEN 'srclc:r:f;eng:m' ELSE 'abc' END"""
-    line = _line(15, {
+    line = _line(MENTION_FIELDS, "l_orderkey", {
         0: "l_orderkey",
         1: stamp,
         2: stamp,
@@ -84,7 +80,7 @@ def gkg_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         '#B#x;2#State, NATION_', (event_id DIV 25) % 25, '#C#x',
         if(event_id % 41 = 0, ';4##', ''), if(event_id % 43 = 0, ';1# #US#x', ''))"""
     tone = "if(event_id % 29 = 0, 'x', CAST(CAST(round(value * 100) AS BIGINT) AS STRING))"
-    line = _line(25, {
+    line = _line(GKG_FIELDS, "event_id", {
         0: "event_id",
         1: f"if(event_id % 59 = 0, 'bad', concat({date}, date_format(ts, 'HHmmss')))",
         2: "'1'",

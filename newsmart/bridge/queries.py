@@ -59,29 +59,8 @@ def _day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.day_slice(_mart_a(spark, sf_dir), DAY)
 
 
-def _rounded(df: DataFrame, *prefixes: str) -> DataFrame:
-    """Means of means to four places, as the order of a floating-point sum is free; shifted by a millionth, so that a
-    mean that lies exactly between two roundings does not turn on its last bit."""
-    return df.select(*(F.round(F.col(name) + 1e-6, 4).alias(name) if name.startswith(prefixes) else name for name in df.columns))
-
-
 def _parsed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _events(spark, sf_dir).select(
-        "GLOBALEVENTID", "SQLDATE", "MonthYear", "Year", "FractionDate", "Actor1Code", "Actor2Name", "IsRootEvent",
-        "QuadClass", "NumMentions", "NumSources", "AvgTone", "Actor1Geo_CountryCode", "ActionGeo_CountryCode",
-        "ActionGeo_Lat", F.col("DATEADDED").cast("bigint").alias("DATEADDED"), "SOURCEURL")
-
-
-def _parsed_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _mentions(spark, sf_dir).select(
-        "GLOBALEVENTID", "MentionTimeDate", "MentionType", "MentionSourceName", "MentionIdentifier", "SentenceID",
-        "Confidence", "MentionDocLen", "MentionDocTone", "SRCLC", "ENG")
-
-
-def _parsed_gkg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _gkg(spark, sf_dir).select(
-        "GKGRECORDID", "DATE", "SourceCollectionIdentifier", "SourceCommonName", "DocumentIdentifier", "Themes",
-        "Persons", "Amounts", "TranslationInfo")
+    return _events(spark, sf_dir).withColumn("DATEADDED", F.col("DATEADDED").cast("bigint"))
 
 
 def _reject_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -140,7 +119,7 @@ def _location_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _period_prune(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
-        _events(spark, sf_dir).where(F.col("SQLDATE").startswith(PERIOD))
+        _events(spark, sf_dir).where(fn.in_period(F.col("SQLDATE"), PERIOD))
         .groupBy("SQLDATE", "ActionGeo_CountryCode").agg(F.count("*").alias("events")))
 
 
@@ -163,8 +142,11 @@ def _landing_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _mart_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    gkg = _gkg(spark, sf_dir)
     return plans.mart_counts({
-        "querya": _mart_a(spark, sf_dir), "queryb2": _mart_b(spark, sf_dir), "queryd2": _mart_d(spark, sf_dir)})
+        "querya": _mart_a(spark, sf_dir), "queryb2": _mart_b(spark, sf_dir), "queryd2": _mart_d(spark, sf_dir),
+        "queryctheme": plans.theme_tone(gkg), "querycperson": plans.person_tone(gkg),
+        "queryccountry": plans.country_tone(gkg)})
 
 
 def _choropleth(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -173,14 +155,14 @@ def _choropleth(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _pair_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = sinks.to_mart_schema(_mart_d(spark, sf_dir), "queryd2")
-    return _rounded(plans.watchlist_grid(stored, WATCHLIST, ALIASES, MONTHS), "mean_tone_")
+    return plans.watchlist_grid(stored, WATCHLIST, ALIASES, MONTHS)
 
 
 QUERIES: dict[str, Query] = {
     # records and scalar functions
     "parse_events": _parsed_events,
-    "parse_mentions": _parsed_mentions,
-    "parse_gkg": _parsed_gkg,
+    "parse_mentions": _mentions,
+    "parse_gkg": _gkg,
     "reject_counts": _reject_counts,
     "lenient_cast": _lenient_cast,
     "source_language": _source_language,
@@ -202,7 +184,7 @@ QUERIES: dict[str, Query] = {
     "c_person": lambda spark, d: plans.person_tone(_gkg(spark, d)),
     "c_country": lambda spark, d: plans.country_tone(_gkg(spark, d)),
     "d_country_pairs": _mart_d,
-    "d_monthly": lambda spark, d: _rounded(plans.monthly_pairs(_mart_d(spark, d)), "mean_tone"),
+    "d_monthly": lambda spark, d: plans.monthly_pairs(_mart_d(spark, d)),
     "mart_counts": _mart_counts,
     "mart_schema": lambda spark, d: sinks.to_mart_schema(_mart_d(spark, d), "queryd2").withColumn(
         "mean_tone", F.col("mean_tone").cast("double")),
@@ -218,7 +200,7 @@ QUERIES: dict[str, Query] = {
     "serve_b_country": lambda spark, d: plans.rows_of_country(_mart_b(spark, d), COUNTRY),
     "serve_c_item": lambda spark, d: plans.rows_of_item(plans.theme_tone(_gkg(spark, d)), "theme", THEME),
     "serve_d_pair": lambda spark, d: plans.rows_of_pair(_mart_d(spark, d), *PAIR),
-    "d_monthly_top": lambda spark, d: _rounded(plans.monthly_leaders(_mart_d(spark, d), ALIASES), "mean_tone"),
+    "d_monthly_top": lambda spark, d: plans.monthly_leaders(_mart_d(spark, d), ALIASES),
     "pair_exclude_alias": lambda spark, d: op.exclude_pairs(_mart_d(spark, d), ALIASES),
     "pair_watchlist": lambda spark, d: op.keep_watchlist(_mart_d(spark, d), WATCHLIST),
     "pair_grid": _pair_grid,

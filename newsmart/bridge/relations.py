@@ -5,6 +5,42 @@ Nothing here goes through feed lines: the expected results are computed from the
 
 from __future__ import annotations
 
+# The columns of the three records in their order, with their kinds (s text, i and l whole, d double).
+_EVENT_COLUMNS = """
+GLOBALEVENTID i, SQLDATE s, MonthYear i, Year i, FractionDate d,
+Actor1Code s, Actor1Name s, Actor1CountryCode s, Actor1KnownGroupCode s, Actor1EthnicCode s, Actor1Religion1Code s,
+Actor1Religion2Code s, Actor1Type1Code s, Actor1Type2Code s, Actor1Type3Code s,
+Actor2Code s, Actor2Name s, Actor2CountryCode s, Actor2KnownGroupCode s, Actor2EthnicCode s, Actor2Religion1Code s,
+Actor2Religion2Code s, Actor2Type1Code s, Actor2Type2Code s, Actor2Type3Code s,
+IsRootEvent i, EventCode s, EventBaseCode s, EventRootCode s, QuadClass i, GoldsteinScale d,
+NumMentions i, NumSources i, NumArticles i, AvgTone d,
+Actor1Geo_Type i, Actor1Geo_FullName s, Actor1Geo_CountryCode s, Actor1Geo_ADM1Code s, Actor1Geo_ADM2Code s,
+Actor1Geo_Lat d, Actor1Geo_Long d, Actor1Geo_FeatureID s,
+Actor2Geo_Type i, Actor2Geo_FullName s, Actor2Geo_CountryCode s, Actor2Geo_ADM1Code s, Actor2Geo_ADM2Code s,
+Actor2Geo_Lat d, Actor2Geo_Long d, Actor2Geo_FeatureID s,
+ActionGeo_Type i, ActionGeo_FullName s, ActionGeo_CountryCode s, ActionGeo_ADM1Code s, ActionGeo_ADM2Code s,
+ActionGeo_Lat d, ActionGeo_Long d, ActionGeo_FeatureID s, DATEADDED l, SOURCEURL s
+"""
+_MENTION_COLUMNS = """
+GLOBALEVENTID i, EventTimeDate l, MentionTimeDate l, MentionType i, MentionSourceName s, MentionIdentifier s, SentenceID i,
+Actor1CharOffset i, Actor2CharOffset i, ActionCharOffset i, InRawText i, Confidence i, MentionDocLen i, MentionDocTone d,
+MentionDocTranslationInfo s
+"""
+_GKG_COLUMNS = """
+GKGRECORDID s, DATE l, SourceCollectionIdentifier i, SourceCommonName s, DocumentIdentifier s, Counts s, V2Counts s,
+Themes s, V2Themes s, Locations s, V2Locations s, Persons s, V2Persons s, Organizations s, V2Organizations s, V2Tone s,
+Dates s, GCAM s, SharingImage s, RelatedImages s, SocialImageEmbeds s, SocialVideoEmbeds s, Quotations s, AllNames s,
+Amounts s
+"""
+
+
+def _record(columns: str, rules: dict[str, str]) -> str:
+    """Select list of a record: its rule where a column has one, else the value that tells the field's place."""
+    filler = {"s": "'f{0}-' || (id % 7)", "i": "id % 1000 + {0}", "l": "id % 1000 + {0}", "d": "id % 100 + {0} + 0.5::DOUBLE"}
+    named = (column.split() for column in columns.strip().split(","))
+    return ", ".join(f"{rules.get(name, filler[kind].format(at))} AS {name}" for at, (name, kind) in enumerate(named))
+
+
 # Parsed events (evt), mentions (men) and articles (art).
 _EVT = """
 evt0 AS (
@@ -25,7 +61,9 @@ men AS (
          CASE WHEN l_partkey % 17 = 0 THEN 0 ELSE CAST(l_quantity AS INTEGER) END AS confidence,
          l_discount AS tone, l_suppkey AS supp,
          CASE WHEN l_suppkey % 13 = 0 THEN '' WHEN l_returnflag = 'N' THEN '' WHEN l_returnflag = 'A' THEN 'a'
-              WHEN l_linestatus = 'F' THEN 'r:f' ELSE 'abc' END AS lang
+              WHEN l_linestatus = 'F' THEN 'r:f' ELSE 'abc' END AS lang,
+         CASE WHEN l_suppkey % 13 = 0 THEN ';' WHEN l_returnflag = 'N' THEN '' WHEN l_returnflag = 'A' THEN 'srclc:a;eng:m'
+              WHEN l_linestatus = 'F' THEN 'srclc:r:f;eng:m' ELSE 'abc' END AS info
   FROM lineitem WHERE l_partkey % 61 <> 0)
 """
 _ART = """
@@ -146,12 +184,12 @@ def _grid(watchlist, excluded, months) -> str:
     cells = ",\n".join(
         f"""coalesce(max(CASE WHEN month = {m} THEN bucket END), 5) AS bucket_{m},
         coalesce(max(CASE WHEN month = {m} THEN size END), 0) AS size_{m},
-        round(coalesce(max(CASE WHEN month = {m} THEN mean_tone END), 0.0) + 1e-6, 4) AS mean_tone_{m},
+        coalesce(max(CASE WHEN month = {m} THEN mean_tone END), 0.0) AS mean_tone_{m},
         coalesce(max(CASE WHEN month = {m} THEN n_articles END), 0) AS n_articles_{m}"""
         for m in months)
     return _WITH_DS + f""",
 monthly AS (
-  SELECT country1, country2, month, avg(CAST(mean_tone AS DOUBLE)) AS mean_tone,
+  SELECT country1, country2, month, CAST(sum(CAST(CAST(mean_tone AS DOUBLE) AS DECIMAL(38,12))) AS DOUBLE) / count(mean_tone) AS mean_tone,
          CAST(sum(n_articles) AS BIGINT) AS n_articles
   FROM mart_d_stored WHERE {_excluded(excluded)} AND {_in_watchlist(watchlist)} GROUP BY 1, 2, 3),
 spread AS (SELECT min(mean_tone) AS low, max(mean_tone) - min(mean_tone) AS tone_range,
@@ -177,28 +215,34 @@ def expected(day: str, country: str, series: tuple[str, str], pair: tuple[str, s
     url = "'http://feed.example/v2/' || name"
     return {
         # records
-        "parse_events": _with(_EVT) + """
-            SELECT id AS GLOBALEVENTID, d AS SQLDATE, CAST(substr(d, 1, 6) AS INTEGER) AS MonthYear,
-              CAST(substr(d, 1, 4) AS INTEGER) AS Year,
-              CASE WHEN id % 3 = 0 THEN 0.0 ELSE price END AS FractionDate,
-              'A' || (cust % 10) AS Actor1Code, '' AS Actor2Name, 1 AS IsRootEvent, 0 AS QuadClass,
-              CASE WHEN id % 7 = 3 THEN 0 ELSE cust END AS NumMentions,
-              CASE WHEN id % 7 = 4 THEN 0 ELSE 5 END AS NumSources,
-              CASE WHEN id % 11 = 5 THEN 0.0 ELSE price END AS AvgTone,
-              actor_country AS Actor1Geo_CountryCode, country AS ActionGeo_CountryCode,
-              CASE WHEN id % 5 = 0 THEN 0.0 ELSE price END AS ActionGeo_Lat,
-              CASE WHEN id % 13 = 6 THEN 0 ELSE CAST(d || '000000' AS BIGINT) END AS DATEADDED,
-              'http://e/' || id AS SOURCEURL
-            FROM evt""",
-        "parse_mentions": _with(_MEN) + """
-            SELECT id AS GLOBALEVENTID, t AS MentionTimeDate, 1 AS MentionType, 'S' || (supp % 20) AS MentionSourceName,
-              url AS MentionIdentifier, sentence AS SentenceID, confidence AS Confidence, 100 AS MentionDocLen,
-              tone AS MentionDocTone, lang AS SRCLC, '' AS ENG FROM men""",
-        "parse_gkg": _with(_ART) + """
-            SELECT CAST(id AS VARCHAR) AS GKGRECORDID, stamp AS DATE, 1 AS SourceCollectionIdentifier,
-              source AS SourceCommonName, 'http://d/' || id AS DocumentIdentifier,
-              CASE WHEN id % 13 = 0 THEN '' ELSE 'T' || (id % 7) || ';P' || (id % 11) || ';' END AS Themes,
-              'p' || (u % 17) || ';q' || (id % 5) AS Persons, '1' AS Amounts, '' AS TranslationInfo FROM art""",
+        "parse_events": _with(_EVT) + "SELECT " + _record(_EVENT_COLUMNS, {
+            "GLOBALEVENTID": "id", "SQLDATE": "d", "MonthYear": "CAST(substr(d, 1, 6) AS INTEGER)",
+            "Year": "CAST(substr(d, 1, 4) AS INTEGER)", "FractionDate": "CASE WHEN id % 3 = 0 THEN 0.0 ELSE price END",
+            "Actor1Code": "'A' || (cust % 10)", "IsRootEvent": "1",
+            "NumMentions": "CASE WHEN id % 7 = 3 THEN 0 ELSE cust END",
+            "NumSources": "CASE WHEN id % 7 = 4 THEN 0 ELSE 5 END",
+            "AvgTone": "CASE WHEN id % 11 = 5 THEN 0.0 ELSE price END",
+            "Actor1Geo_CountryCode": "actor_country", "ActionGeo_CountryCode": "country",
+            "ActionGeo_Lat": "CASE WHEN id % 5 = 0 THEN 0.0 ELSE price END",
+            "DATEADDED": "CASE WHEN id % 13 = 6 THEN 0 ELSE CAST(d || '000000' AS BIGINT) END",
+            "SOURCEURL": "'http://e/' || id"}) + " FROM evt",
+        "parse_mentions": _with(_MEN) + "SELECT " + _record(_MENTION_COLUMNS, {
+            "GLOBALEVENTID": "id", "EventTimeDate": "t", "MentionTimeDate": "t", "MentionType": "1",
+            "MentionSourceName": "'S' || (supp % 20)", "MentionIdentifier": "url", "SentenceID": "sentence",
+            "Confidence": "confidence", "MentionDocLen": "100", "MentionDocTone": "tone",
+            "MentionDocTranslationInfo": "info"}) + ", '' AS Extras, lang AS SRCLC, '' AS ENG FROM men",
+        "parse_gkg": _with(_ART, _LOC) + "SELECT " + _record(_GKG_COLUMNS, {
+            "GKGRECORDID": "CAST(id AS VARCHAR)", "DATE": "stamp", "SourceCollectionIdentifier": "1",
+            "SourceCommonName": "source", "DocumentIdentifier": "'http://d/' || id",
+            "Themes": "CASE WHEN id % 13 = 0 THEN '' ELSE 'T' || (id % 7) || ';P' || (id % 11) || ';' END",
+            "V2Locations": """CASE WHEN id % 37 = 0 THEN '' ELSE '1#NATION_' || (id % 25) || '#A#x;4#City, Region, NATION_'
+                || (u % 25) || '#B#x;2#State, NATION_' || ((id // 25) % 25) || '#C#x'
+                || CASE WHEN id % 41 = 0 THEN ';4##' ELSE '' END || CASE WHEN id % 43 = 0 THEN ';1# #US#x' ELSE '' END
+                END""",
+            "Persons": "'p' || (u % 17) || ';q' || (id % 5)",
+            "V2Tone": """CASE WHEN id % 31 = 0 THEN '' WHEN id % 29 = 0 THEN 'x,1,2,3,4,5,6'
+                ELSE CAST(tone AS VARCHAR) || ',1,2,3,4,5,6' END""",
+            "Amounts": "'1'"}) + ", '' AS TranslationInfo, '' AS Extras FROM art",
         "reject_counts": """
             SELECT 'export' AS kind, CASE WHEN o_orderkey % 83 = 2 THEN 62 ELSE 60 END AS n_fields,
                    CAST(sum(CASE WHEN o_orderkey % 97 = 0 THEN 3 ELSE 1 END) AS BIGINT) AS lines
@@ -206,8 +250,8 @@ def expected(day: str, country: str, series: tuple[str, str], pair: tuple[str, s
             UNION ALL
             SELECT 'mentions', 13, count(*) FROM lineitem WHERE l_partkey % 61 = 0 HAVING count(*) > 0
             UNION ALL
-            SELECT 'gkg', CASE WHEN event_id % 31 = 0 THEN 12 ELSE 16 END, count(*)
-            FROM events WHERE event_id % 53 = 0 GROUP BY 1, 2""",
+            SELECT 'gkg', 24, count(*)
+            FROM events WHERE event_id % 53 = 0 HAVING count(*) > 0""",
         "lenient_cast": """
             SELECT l_orderkey, l_linenumber, l_partkey,
               CASE l_partkey % 6 WHEN 0 THEN 0 WHEN 1 THEN 0 WHEN 2 THEN 0 WHEN 3 THEN 0 WHEN 4 THEN l_partkey
@@ -256,13 +300,18 @@ def expected(day: str, country: str, series: tuple[str, str], pair: tuple[str, s
         "c_country": _with(_ART, _LOC, _COUNTRIES) + f"SELECT {_item_columns('country')} FROM mart_c",
         "d_country_pairs": _WITH_D + "SELECT * FROM mart_d",
         "d_monthly": _WITH_D + """
-            SELECT country1, country2, month, round(avg(mean_tone) + 1e-6, 4) AS mean_tone,
+            SELECT country1, country2, month, CAST(sum(CAST(mean_tone AS DECIMAL(38,12))) AS DOUBLE) / count(mean_tone) AS mean_tone,
                    CAST(sum(n_articles) AS BIGINT) AS n_articles,
                    sum(tone_sum) / nullif(sum(n_articles), 0) AS weighted_tone
             FROM mart_d GROUP BY 1, 2, 3""",
-        "mart_counts": _with(_EVT, _MEN, _BEST, _A, _B, _ART, _LOC, _PAIR, _D) + """
+        "mart_counts": _with(_EVT, _MEN, _BEST, _A, _B, _ART, _LOC, _PAIR, _D, *(
+            part.replace("item AS", f"{name}_item AS").replace("mart_c AS", f"mart_{name} AS")
+            .replace("FROM item JOIN art ON item.id", f"FROM {name}_item AS item JOIN art ON item.id")
+            for name, part in (("theme", _THEMES), ("person", _PERSONS), ("country", _COUNTRIES)))) + """
             SELECT 'querya' AS mart, count(*) AS rows FROM mart_a UNION ALL SELECT 'queryb2', count(*) FROM mart_b
-            UNION ALL SELECT 'queryd2', count(*) FROM mart_d""",
+            UNION ALL SELECT 'queryd2', count(*) FROM mart_d UNION ALL SELECT 'queryctheme', count(*) FROM mart_theme
+            UNION ALL SELECT 'querycperson', count(*) FROM mart_person
+            UNION ALL SELECT 'queryccountry', count(*) FROM mart_country""",
         "mart_schema": _WITH_DS + "SELECT * REPLACE (CAST(mean_tone AS DOUBLE) AS mean_tone) FROM mart_d_stored",
         "collapse_to_key": _WITH_A + """
             SELECT sqldate, country, count, max(language) AS language FROM mart_a GROUP BY 1, 2, 3""",
@@ -282,7 +331,7 @@ def expected(day: str, country: str, series: tuple[str, str], pair: tuple[str, s
         "serve_d_pair": _WITH_D
             + f"SELECT * FROM mart_d WHERE country1 = '{pair[0]}' AND country2 = '{pair[1]}'",
         "d_monthly_top": _WITH_D + f"""
-            SELECT country1, country2, month, round(avg(mean_tone) + 1e-6, 4) AS mean_tone,
+            SELECT country1, country2, month, CAST(sum(CAST(mean_tone AS DECIMAL(38,12))) AS DOUBLE) / count(mean_tone) AS mean_tone,
                    CAST(sum(n_articles) AS BIGINT) AS n_articles,
                    sum(tone_sum) / nullif(sum(n_articles), 0) AS weighted_tone
             FROM mart_d WHERE {_excluded(excluded)} GROUP BY 1, 2, 3""",

@@ -10,6 +10,11 @@ def reference_period(year: str, month: str, day: str = "", sep: str = "") -> str
     return sep.join(part for part in (year, month, day) if part) if day else sep.join((year, month))
 
 
+def in_period(stamp: Column, period: str) -> Column:
+    """Whether a stamp, or a name or date that begins with one, lies in a period: its first digits, however many."""
+    return stamp.startswith(period)
+
+
 def date_parts(date: Column) -> dict[str, Column]:
     """Year, month and day, as text, of a date that begins with yyyyMMdd (text or number)."""
     text = date.cast("string")

@@ -18,6 +18,16 @@ def first_tone(tone: str, type_name: str) -> Column:
     return try_float(f"substring_index({tone}, ',', 1)", type_name)
 
 
+def exact_mean(name: str) -> Column:
+    """Mean of a column of doubles, the same whatever the order of its rows: a sum of decimals with twelve places and
+    one division. Values that are no decimals (NaN, infinite, beyond 10^20) make it what adding them up makes it."""
+    value = F.col(name).cast("double")
+    plain = F.abs(value) < 1e20
+    whole = F.sum(F.when(plain, value).try_cast("decimal(38,12)")).cast("double")
+    odd = F.sum(F.when(value.isNotNull() & ~plain, value))
+    return F.try_divide(F.coalesce(odd, whole), F.count(value))
+
+
 def items(listing: Column) -> Column:
     """``a;b;`` → [a, b, ""]: the closing ``;`` yields a blank item, and so does an empty list."""
     return F.split(listing, ";")

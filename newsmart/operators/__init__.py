@@ -2,8 +2,8 @@
 
 from .filters import exclude_pairs, keep_watchlist, pair_members
 from .grid import month_grid
-from .keys import attach_per_key, collapse_to_key
-from .mentions import best_mention, event_tally
+from .keys import collapse_to_key, repeat_rows
+from .mentions import best_mention, tallied_events
 from .once import once
 from .records import (
     parse_events, parse_gkg, parse_mentions, rejected_lines, with_field_count,
@@ -12,7 +12,8 @@ from .tones import explode_pairs, tone_by_item
 from .toprows import without_top_row
 
 __all__ = [
-    "attach_per_key", "best_mention", "collapse_to_key", "event_tally", "exclude_pairs", "explode_pairs",
+    "best_mention", "collapse_to_key", "exclude_pairs", "explode_pairs",
     "keep_watchlist", "month_grid", "once", "pair_members", "parse_events", "parse_gkg", "parse_mentions", "rejected_lines",
+    "repeat_rows", "tallied_events",
     "tone_by_item", "with_field_count", "without_top_row",
 ]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from .filters import pair_members
 
@@ -17,18 +17,16 @@ def month_grid(monthly: DataFrame, watchlist: tuple[str, ...], months: list[int]
     mean tone of the frame, article counts as a percentage of their spread; a cell without data gets bucket 5 and
     zeros. The cells come from the watch list alone, so the grid's size does not depend on the data.
     """
-    # One window over the whole frame: it has at most one row per pair of the watch list and month.
-    frame = Window.partitionBy()
-
-    def spread(name: str) -> Column:
-        return F.max(name).over(frame) - F.min(name).over(frame)
-
-    tone_place = F.try_divide(
-        F.col("mean_tone") - F.min("mean_tone").over(frame), spread("mean_tone")) * (BUCKETS - 1)
-    shaded = monthly.select(
+    # One row of least and greatest values, joined to every row; the join is by a constant, so it stays an equi-join.
+    frame = monthly.agg(
+        F.min("mean_tone").alias("low"), (F.max("mean_tone") - F.min("mean_tone")).alias("tones"),
+        (F.max("n_articles") - F.min("n_articles")).alias("articles")).withColumn("frame", F.lit(1))
+    placed = monthly.withColumn("frame", F.lit(1)).join(F.broadcast(frame), "frame")
+    tone_place = F.try_divide(F.col("mean_tone") - F.col("low"), "tones") * (BUCKETS - 1)
+    shaded = placed.select(
         "country1", "country2", "month", "mean_tone", "n_articles",
         F.coalesce(tone_place.cast("int"), F.lit(NEUTRAL_BUCKET)).alias("bucket"),
-        F.coalesce((F.try_divide(F.col("n_articles"), spread("n_articles")) * 100).cast("int"), F.lit(0)).alias("size"),
+        F.coalesce((F.try_divide(F.col("n_articles"), "articles") * 100).cast("int"), F.lit(0)).alias("size"),
     )
     wide = shaded.groupBy("country1", "country2").agg(*(
         F.max(F.when(F.col("month") == month, F.col(name))).alias(f"{name}_{month}")

@@ -1,23 +1,24 @@
-"""Work on keys of which a few may hold much of the data."""
+"""Rows of equal key."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-HOT_ROWS = 1_000_000
+COPIES_IN_A_BLOCK = 10_000
 
 
-def attach_per_key(rows: DataFrame, per_key: DataFrame, key: str, copies: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Inner join of ``rows`` to a table with one row per key whose ``copies`` says how many rows have that key.
+def repeat_rows(df: DataFrame, copies: str, block: int = COPIES_IN_A_BLOCK) -> DataFrame:
+    """Each row as often as its column ``copies`` says, in two steps.
 
-    Keys with ``hot_rows`` rows or more are joined without a shuffle; there are at most ``count(rows) / hot_rows``
-    of them, which bounds what is broadcast (a million keys for 10^12 rows). All others go through an ordinary
-    join in which no key has more than ``hot_rows`` rows. When no key is hot, adaptive execution drops the first
-    branch and the anti join.
+    A row first becomes one row per block of copies, these are dealt out, and only then are blocks expanded; so a row
+    with very many copies is expanded by many tasks.
     """
-    hot = F.broadcast(per_key.where(F.col(copies) >= hot_rows))
-    cold = per_key.where(F.col(copies) < hot_rows)
-    return rows.join(hot, key).unionByName(rows.join(hot.select(key), key, "left_anti").join(cold, key))
+    own = df.columns
+    blocks = df.withColumn(
+        "copy_block", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"({copies} - 1) DIV {block}"))))
+    here = F.least(F.lit(block), F.col(copies) - F.col("copy_block") * block).cast("int")
+    return blocks.repartition(*own, "copy_block").withColumn(
+        "copy", F.explode(F.array_repeat(F.lit(0), here))).select(*own)
 
 
 def collapse_to_key(df: DataFrame, keys: list[str]) -> DataFrame:

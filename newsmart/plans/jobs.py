@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from newsmart.sinks import write_mart
+from newsmart.sinks import write_mart, write_period
 from newsmart.sources import archive_glob, read_archive_lines
 
 from . import marts
@@ -22,6 +22,9 @@ BUILDERS: dict[str, Callable[[Records], DataFrame]] = {
     "querycperson": lambda records: marts.person_tone(records("gkg")),
     "queryccountry": lambda records: marts.country_tone(records("gkg")),
     "queryd2": lambda records: marts.country_pair_tone(records("gkg")),
+    "queryb2rollup": lambda records: marts.event_rollup(
+        marts.event_mentions(records("export"), records("mentions"))),
+    "queryd2monthly": lambda records: marts.monthly_pairs(marts.country_pair_tone(records("gkg"))),
 }
 
 
@@ -36,12 +39,16 @@ def lake_records(spark: SparkSession, lake: str, period: str) -> Records:
 
 
 def store_marts(records: Records, names: list[str], target: str = "", fmt: str = "parquet", mode: str = "overwrite",
-                **options: str) -> None:
+                period: str = "", allow_empty: bool = False, **options: str) -> None:
     """Build marts and write each to ``target/<name>``; every format takes every mart.
 
-    A table connector needs options instead of a target; ``{mart}`` in one stands for the mart's name.
+    With a ``period`` and a file format, each goes to the period's own folder there and replaces only that. A table
+    connector needs options instead of a target; ``{mart}`` in one stands for the mart's name.
     """
     for name in names:
-        write_mart(
-            BUILDERS[name](records), name, f"{target.rstrip('/')}/{name}" if target else "", fmt, mode,
-            **{key: value.format(mart=name) for key, value in options.items()})
+        own = {key: value.format(mart=name) for key, value in options.items()}
+        place = f"{target.rstrip('/')}/{name}" if target else ""
+        if period and place:
+            write_period(BUILDERS[name](records), name, place, period, fmt, allow_empty, **own)
+        else:
+            write_mart(BUILDERS[name](records), name, place, fmt, mode, **own)

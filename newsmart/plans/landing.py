@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from newsmart.functions import file_name
+from newsmart.functions import file_name, in_period
 from newsmart.operators import parse_events, parse_gkg, parse_mentions
-from newsmart.sources import archive_glob, list_archives, read_archive_lines
+from newsmart.sources import archive_glob, list_archives, scan_archives
 
 PARSERS = {"export": parse_events, "mentions": parse_mentions, "gkg": parse_gkg}
 
@@ -28,36 +31,83 @@ def reconcile(manifest: DataFrame, arrived: DataFrame) -> DataFrame:
     )
 
 
-def _days_to_build(spark: SparkSession, arrived: DataFrame, ledger: str) -> list[str]:
-    """Days with an archive the ledger does not hold at its present size; one short string per calendar day."""
+def _stored(spark: SparkSession, path: str, names: list[str]) -> DataFrame | None:
+    """The columns of a stored table; None where nothing was stored yet."""
     try:
-        landed = spark.read.parquet(ledger).select("name", "bytes")
-    except Exception as error:  # the first landing has no ledger yet
+        return spark.read.parquet(path).select(*names)
+    except Exception as error:
         if "PATH_NOT_FOUND" not in str(error):
             raise
-        pending = arrived
-    else:
-        pending = arrived.join(landed, ["name", "bytes"], "left_anti")
-    return [row.day for row in pending.select("day").distinct().collect()]
+        return None
+
+
+class Landed(NamedTuple):
+    """Days written, and (name, problem) of archives that could not be read and were left out."""
+
+    days: list[str]
+    rejected: list[tuple[str, str]]
 
 
-def land_period(spark: SparkSession, base: str, lake: str, kind: str, period: str) -> list[str]:
-    """Bring the period's new archives of one kind into ``lake``; returns the days written.
+def land_period(spark: SparkSession, base: str, lake: str, kind: str, period: str,
+                manifest: DataFrame | None = None) -> Landed:
+    """Bring the period's new archives of one kind into ``lake``.
 
-    Days are the unit: a day with anything new is read whole and replaces its partition, and the ledger of landed
-    archives is written after the data. A job lost midway is therefore simply run again. Rows go to files by day
-    through a rebalance, in which adaptive execution splits a day that is too big for one task.
+    New is an archive that the ledger does not hold at its present size; with a ``manifest`` (as ``select_period``
+    gives it), only archives that ``reconcile`` calls ready are landed. Lake rows carry their archive's name. A day
+    is rebuilt from the rows the lake has of other archives and those of the new ones, so nothing depends on landed
+    archives being still there, and a run repeated or lost midway neither loses nor doubles a row. An archive that
+    is no zip or is damaged is reported, stays out of the ledger and does not hold up the others.
+
+    Each archive is unzipped once. Rows go to files by day through a rebalance, in which adaptive execution splits a
+    day that is too big for one task.
     """
     arrived = list_archives(spark, archive_glob(base, period, kind))
-    ledger = f"{lake}/_archives/{kind}"
-    days = _days_to_build(spark, arrived, ledger)
-    if not days:
-        return []
-    lines = read_archive_lines(spark, [archive_glob(base, day, kind) for day in sorted(days)])
-    records = PARSERS[kind](lines.withColumn("day", F.substring(file_name(F.col("path")), 1, 8)), keep=("day",))
-    _replace_days(records.hint("rebalance", "day"), f"{lake}/{kind}")
-    _replace_days(arrived.where(F.col("day").isin(days)).select("name", "bytes", "day").hint("rebalance", "day"), ledger)
-    return sorted(days)
+    if manifest is not None:
+        ready = reconcile(manifest, arrived).where("status = 'ready'").select("name")
+        arrived = arrived.join(ready.distinct(), "name", "left_semi")
+    ledger, root = f"{lake}/_archives/{kind}", f"{lake}/{kind}"
+    landed = _stored(spark, ledger, ["name", "bytes"])
+    pending = arrived if landed is None else arrived.join(landed, ["name", "bytes"], "left_anti")
+    staging = f"{lake}/_staging/{uuid.uuid4().hex}"
+    try:
+        pending.select("path", "name", "bytes", F.col("day").cast("string").alias("day")).write.parquet(f"{staging}/pending")
+        pending = spark.read.parquet(f"{staging}/pending")
+        days = sorted(row.day for row in pending.select("day").distinct().collect())  # one short text per calendar day
+        if not days:
+            return Landed([], [])
+        lines = scan_archives(spark, [archive_glob(base, day, kind) for day in days], pending)
+        lines.write.parquet(f"{staging}/lines")
+        lines = spark.read.schema(lines.schema).parquet(f"{staging}/lines")
+        bad = lines.where(F.col("problem").isNotNull()).select(
+            file_name(F.col("path")).alias("archive"), "problem").distinct()
+        rejected = sorted((row.archive, row.problem) for row in bad.collect())
+        good = lines.where(F.col("line").isNotNull()).withColumns({
+            "archive": file_name(F.col("path")), "day": F.substring(file_name(F.col("path")), 1, 8)}).join(
+            bad.select("archive"), "archive", "left_anti")
+        records = PARSERS[kind](good, keep=("archive", "day"))
+        kept = _stored(spark, root, records.columns)
+        if kept is not None:
+            kept = kept.withColumn("day", F.col("day").cast("string")).where(F.col("day").isin(days)).join(
+                pending.select(F.col("name").alias("archive")), "archive", "left_anti").select(*records.columns)
+            records = records.unionByName(kept)
+        records.hint("rebalance", "day").write.parquet(f"{staging}/records")
+        _replace_days(spark.read.schema(records.schema).parquet(f"{staging}/records").hint("rebalance", "day"), root)
+
+        entries = pending.join(bad.select(F.col("archive").alias("name")), "name", "left_anti").select(
+            "name", "bytes", "day")
+        held = _stored(spark, ledger, ["name", "bytes", "day"])
+        if held is not None:
+            entries = entries.unionByName(
+                held.withColumn("day", F.col("day").cast("string")).where(F.col("day").isin(days))
+                .join(pending.select("name"), "name", "left_anti"))
+        entries.write.parquet(f"{staging}/entries")
+        _replace_days(spark.read.schema(entries.schema).parquet(f"{staging}/entries").hint("rebalance", "day"), ledger)
+        written = sorted({row.day for row in pending.join(
+            bad.select(F.col("archive").alias("name")), "name", "left_anti").select("day").distinct().collect()})
+        return Landed(written, rejected)
+    finally:
+        place = spark._jvm.org.apache.hadoop.fs.Path(staging)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def _replace_days(df: DataFrame, path: str) -> None:
@@ -65,6 +115,11 @@ def _replace_days(df: DataFrame, path: str) -> None:
 
 
 def read_lake(spark: SparkSession, lake: str, kind: str, period: str = "") -> DataFrame:
-    """Typed records of a period; only the partitions of its days are listed and read."""
-    return spark.read.parquet(f"{lake}/{kind}").where(
-        F.col("day").cast("string").startswith(period))
+    """Typed records of a period of any length, a year or a single archive's stamp.
+
+    Only the folders of the period's days are listed; within a day, rows are told by their archive's stamp, which
+    reaches the scan as a filter. A period without any folder raises PATH_NOT_FOUND.
+    """
+    root = f"{lake}/{kind}"
+    found = spark.read.option("basePath", root).parquet(f"{root}/day={period[:8]}*")
+    return found if len(period) <= 8 else found.where(in_period(F.col("archive"), period))

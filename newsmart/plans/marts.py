@@ -6,9 +6,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from newsmart.functions import date_parts, first_tone, items, mentioned_countries
-from newsmart.operators import attach_per_key, best_mention, event_tally, explode_pairs, once, tone_by_item
-from newsmart.operators.keys import HOT_ROWS
+from newsmart.functions import date_parts, exact_mean, first_tone, items, mentioned_countries
+from newsmart.operators import best_mention, explode_pairs, once, repeat_rows, tallied_events, tone_by_item
 
 
 def best_language_counts(events: DataFrame, mentions: DataFrame) -> DataFrame:
@@ -31,25 +30,19 @@ def best_language_counts(events: DataFrame, mentions: DataFrame) -> DataFrame:
     )
 
 
-def event_mentions(events: DataFrame, mentions: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def event_mentions(events: DataFrame, mentions: DataFrame) -> DataFrame:
     """Mart B: every event with its number of mentions.
 
     ``count`` is the row count of events ⟕ mentions per event id: 1 for an event without mentions, and multiplied
-    for an id that occurs more than once. ``true_mentions`` is the plain number, 0 included.
+    for an id that occurs more than once. ``true_mentions`` is the plain number, 0 included. Copies of an event row
+    are counted first and written back last, so no join or window meets them.
     """
-    facts = events.select(
-        "GLOBALEVENTID",
-        F.col("SQLDATE").alias("sqldate"),
-        F.col("ActionGeo_CountryCode").alias("country"),
-        F.col("Year").alias("year"),
-    )
-    parts = date_parts(F.col("sqldate"))
-    return (
-        attach_per_key(facts, event_tally(events, mentions), "GLOBALEVENTID", "copies", hot_rows)
-        .select(
-            F.col("GLOBALEVENTID").alias("globaleventid"), "sqldate", "count", "true_mentions", "country", "year",
-            parts["month"].alias("month"), parts["day"].alias("day"),
-        )
+    tallied = tallied_events(events, mentions, ["SQLDATE", "ActionGeo_CountryCode", "Year"])
+    parts = date_parts(F.col("SQLDATE"))
+    return repeat_rows(tallied, "copies").select(
+        F.col("GLOBALEVENTID").alias("globaleventid"), F.col("SQLDATE").alias("sqldate"), "count", "true_mentions",
+        F.col("ActionGeo_CountryCode").alias("country"), F.col("Year").alias("year"),
+        parts["month"].alias("month"), parts["day"].alias("day"),
     )
 
 
@@ -109,11 +102,12 @@ def country_pair_tone(gkg: DataFrame) -> DataFrame:
 
 
 def monthly_pairs(mart_d: DataFrame) -> DataFrame:
-    """Mart D per month, the same month of all years together; the mean is over days, each counting alike.
+    """Mart D per month, the same month of all years together; the mean is over days, each counting alike, and does
+    not depend on the order of the days.
 
     With ``tone_sum`` present, ``weighted_tone`` is the mean over articles.
     """
-    measures = [F.avg("mean_tone").alias("mean_tone"), F.sum("n_articles").alias("n_articles")]
+    measures = [exact_mean("mean_tone").alias("mean_tone"), F.sum("n_articles").alias("n_articles")]
     if "tone_sum" in mart_d.columns:
         measures.append(F.try_divide(F.sum("tone_sum"), F.sum("n_articles")).alias("weighted_tone"))
     return mart_d.groupBy("country1", "country2", "month").agg(*measures)

@@ -21,6 +21,10 @@ def day_slice(mart_a: DataFrame, day: str) -> DataFrame:
     return mart_a.where(F.col("sqldate") == day)
 
 
+def _first(df: DataFrame, limit: int | None) -> DataFrame:
+    return df if limit is None else df.limit(limit)
+
+
 def ranked(day_rows: DataFrame, k: int) -> DataFrame:
     """The k largest (country, language) rows of a day."""
     return day_rows.orderBy(*_order(*_BY_COUNT)).limit(k)
@@ -30,13 +34,14 @@ def ranked_from_second(day_rows: DataFrame, k: int | None = None) -> DataFrame:
     """Rows of a day without the largest, which dwarfs the others on a map; the next ``k``, or all."""
     if k is not None:
         return day_rows.orderBy(*_order(*_BY_COUNT)).offset(1).limit(k)
-    return without_top_row(day_rows, _order(*_BY_COUNT), ["country", "language"])
+    return without_top_row(day_rows, _order(*_BY_COUNT), ["sqldate", "country", "language"])
 
 
-def rows_of_country(mart: DataFrame, country: str) -> DataFrame:
-    """One country's rows of mart A or B; mart B's by number of mentions."""
+def rows_of_country(mart: DataFrame, country: str, limit: int | None = None) -> DataFrame:
+    """One country's rows of mart A or B; mart B's by number of mentions, and the first ``limit`` of them."""
     mine = mart.where(F.col("country") == country)
-    return mine.orderBy(*_order("count", "globaleventid", "sqldate")) if "globaleventid" in mart.columns else mine
+    return _first(
+        mine.orderBy(*_order("count", "globaleventid", "sqldate")) if "globaleventid" in mart.columns else mine, limit)
 
 
 def country_series(mart_a: DataFrame, country: str, start: str, end: str) -> DataFrame:
@@ -54,15 +59,15 @@ def country_series(mart_a: DataFrame, country: str, start: str, end: str) -> Dat
     )
 
 
-def rows_of_item(mart_c: DataFrame, item: str, name: str) -> DataFrame:
+def rows_of_item(mart_c: DataFrame, item: str, name: str, limit: int | None = None) -> DataFrame:
     """One theme's, person's or country's rows by number of articles."""
-    return mart_c.where(F.col(item) == name).orderBy(*_order("nbarticle", "date", "source"))
+    return _first(mart_c.where(F.col(item) == name).orderBy(*_order("nbarticle", "date", "source")), limit)
 
 
-def rows_of_pair(mart_d: DataFrame, country1: str, country2: str) -> DataFrame:
+def rows_of_pair(mart_d: DataFrame, country1: str, country2: str, limit: int | None = None) -> DataFrame:
     """One pair's days, best mean tone first."""
-    return mart_d.where((F.col("country1") == country1) & (F.col("country2") == country2)).orderBy(
-        F.desc_nulls_last("mean_tone"), F.desc_nulls_last("n_articles"), "year", "month", "day")
+    return _first(mart_d.where((F.col("country1") == country1) & (F.col("country2") == country2)).orderBy(
+        F.desc_nulls_last("mean_tone"), F.desc_nulls_last("n_articles"), "year", "month", "day"), limit)
 
 
 def monthly_leaders(mart_d: DataFrame, excluded: tuple[tuple[str, str], ...] = ALIAS_PAIRS) -> DataFrame:
@@ -73,10 +78,16 @@ def monthly_leaders(mart_d: DataFrame, excluded: tuple[tuple[str, str], ...] = A
 
 def watchlist_grid(mart_d: DataFrame, watchlist: tuple[str, ...] = WATCHLIST,
                    excluded: tuple[tuple[str, str], ...] = ALIAS_PAIRS,
-                   months: tuple[int, ...] = tuple(range(1, 13))) -> DataFrame:
-    """The watch list's pairs with tone bucket, relative size, mean tone and articles for each month."""
+                   months: tuple[int, ...] | None = None) -> DataFrame:
+    """The watch list's pairs with tone bucket, relative size, mean tone and articles for each month.
+
+    Without ``months`` they are the watched pairs' own, of which there are at most twelve.
+    """
     watched = keep_watchlist(exclude_pairs(mart_d, excluded), watchlist)
     monthly = monthly_pairs(watched.withColumn("month", F.col("month").cast("int")))
+    if months is None:
+        months = sorted(row.month for row in watched.select(F.col("month").cast("int").alias("month")).distinct().collect()
+                        if row.month is not None)
     return month_grid(monthly, watchlist, list(months))
 
 

@@ -84,7 +84,7 @@ class MartSpec:
 
 
 def _mart(columns: str, key: tuple[str, ...], descending: tuple[str, ...]) -> MartSpec:
-    types = {"int": T.IntegerType(), "string": T.StringType(), "float": T.FloatType()}
+    types = {"int": T.IntegerType(), "string": T.StringType(), "float": T.FloatType(), "bigint": T.LongType()}
     fields = (column.split() for column in columns.split(", "))
     return MartSpec(T.StructType([T.StructField(name, types[kind]) for name, kind in fields]), key, descending)
 
@@ -104,4 +104,11 @@ MARTS: dict[str, MartSpec] = {
     "queryd2": _mart(
         "day int, month int, year int, n_articles int, mean_tone float, country1 string, country2 string",
         ("country1", "country2"), ("mean_tone", "n_articles")),
+    # Roll-ups of the two marts above, stored so that they need not be rebuilt from records.
+    "queryb2rollup": _mart(
+        "country string, year int, month int, day int, level string, events int, mentions bigint",
+        ("country",), ("mentions",)),
+    "queryd2monthly": _mart(
+        "country1 string, country2 string, month int, mean_tone float, n_articles int", ("country1", "country2"),
+        ("n_articles",)),
 }

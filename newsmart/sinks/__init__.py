@@ -1,5 +1,5 @@
 """Mart sinks."""
 
-from .marts import to_mart_schema, write_frame, write_mart
+from .marts import to_mart_schema, write_frame, write_mart, write_period
 
-__all__ = ["to_mart_schema", "write_frame", "write_mart"]
+__all__ = ["to_mart_schema", "write_frame", "write_mart", "write_period"]

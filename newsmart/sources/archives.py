@@ -45,18 +45,35 @@ def read_archive_lines(spark: SparkSession, path: str | list[str], strict: bool
     """(path, line) for every line of every entry of the archives at ``path``.
 
     Unzipping is the one Python step of the library. Lines end at LF, CR or CRLF and leave in bounded Arrow
-    batches, so a task holds one compressed archive and one batch of text. A file that is no zip has no lines. A
-    damaged archive fails the job, or is passed over when ``strict`` is off (see ``unreadable_archives``).
+    batches. A task holds one batch of text and one Arrow batch of compressed archives, which Spark closes at
+    ``spark.sql.execution.arrow.maxBytesPerBatch`` (64 MB unless set) or at the archive that passes it. A file that
+    is no zip and a damaged archive fail the job, or are passed over when ``strict`` is off (see
+    ``unreadable_archives``).
     """
-    return _scan(spark, path, strict).where(F.col("line").isNotNull())
+    return _scan(_contents(spark, path), strict).where(F.col("line").isNotNull())
+
+
+def scan_archives(spark: SparkSession, path: str | list[str], wanted: DataFrame) -> DataFrame:
+    """(path, line, problem) of the archives at ``path`` that are in ``wanted`` (path): lines without a problem, and
+    one row with a problem and no line for each archive that cannot be read to its end.
+
+    A join would move the contents, so the wanted paths are looked up where the files are read; they are a part of
+    the period's file listing, which the driver holds for any scan.
+    """
+    names = F.broadcast(wanted.select("path").distinct())
+    return _scan(_contents(spark, path).join(names, "path", "left_semi"), strict=False)
 
 
 def unreadable_archives(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """(path, problem) of archives that are no zip or are damaged."""
-    return _scan(spark, path, strict=False).where(F.col("line").isNull()).select("path", "problem")
+    return _scan(_contents(spark, path), strict=False).where(F.col("line").isNull()).select("path", "problem")
+
 
+def _contents(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    return spark.read.format("binaryFile").load(path).select("path", "content")
 
-def _scan(spark: SparkSession, path: str | list[str], strict: bool) -> DataFrame:
+
+def _scan(contents: DataFrame, strict: bool) -> DataFrame:
     def unzip(batches):  # nested, so that it travels by value and the executors need no copy of this package
         import io
         import zipfile
@@ -78,6 +95,8 @@ def _scan(spark: SparkSession, path: str | list[str], strict: bool) -> DataFrame
                 name = name.as_py()
                 source = pa.BufferReader(content.as_buffer())
                 if source.read(2) != b"PK":
+                    if strict:
+                        raise ValueError(f"{name} is not a zip archive")
                     yield batch(name, [None], "not a zip archive")
                     continue
                 try:
@@ -92,8 +111,4 @@ def _scan(spark: SparkSession, path: str | list[str], strict: bool) -> DataFrame
                         raise ValueError(f"damaged archive {name}: {error}") from error
                     yield batch(name, [None], f"damaged: {error}")
 
-    return (
-        spark.read.format("binaryFile").load(path)
-        .select("path", "content")
-        .mapInArrow(unzip, "path string, line string, problem string")
-    )
+    return contents.mapInArrow(unzip, "path string, line string, problem string")

@@ -11,5 +11,6 @@ def read_mart(spark: SparkSession, path: str, mart: str, fmt: str = "parquet", *
     """A mart from Parquet or headerless CSV, or through a table connector named by ``fmt``."""
     reader = spark.read.format(fmt).options(**options)
     if fmt in ("parquet", "csv"):
-        return reader.schema(MARTS[mart].schema).load(path)
+        # A mart stored by period has the period as a partition column, which is not the mart's.
+        return reader.schema(MARTS[mart].schema).load(path).select(*MARTS[mart].columns)
     return reader.load().select(*MARTS[mart].columns)

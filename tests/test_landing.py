@@ -9,6 +9,7 @@ from newsmart.operators import parse_events
 from newsmart.plans.jobs import archive_records, lake_records, store_marts
 from newsmart.plans.landing import land_period, read_lake
 from newsmart.schemas import EVENT_FIELDS, MARTS
+from newsmart.sinks import write_period
 from newsmart.sources import archive_glob, list_archives, read_archive_lines, read_manifest, read_mart, \
     select_period, union_manifests
 
@@ -59,13 +60,13 @@ def test_landing_is_repeatable(spark, tmp_path):
     base.mkdir()
     for i, day in enumerate(("20190101", "20190102")):
         write_zip(base / f"{day}000000.export.CSV.zip", *(_event_line(10 * i + n, day) for n in range(3)), "bad\n")
-    assert land_period(spark, str(base), lake, "export", "2019") == ["20190101", "20190102"]
-    assert land_period(spark, str(base), lake, "export", "2019") == []
+    assert land_period(spark, str(base), lake, "export", "2019").days == ["20190101", "20190102"]
+    assert land_period(spark, str(base), lake, "export", "2019").days == []
     assert read_lake(spark, lake, "export").count() == 6
 
     write_zip(base / "20190102001500.export.CSV.zip", _event_line(99, "20190102"))
     before = {p for p in Path(lake, "export", "day=20190101").glob("*.parquet")}
-    assert land_period(spark, str(base), lake, "export", "2019") == ["20190102"]
+    assert land_period(spark, str(base), lake, "export", "2019").days == ["20190102"]
     assert {p for p in Path(lake, "export", "day=20190101").glob("*.parquet")} == before
     assert read_lake(spark, lake, "export").count() == 7
 
@@ -76,13 +77,93 @@ def test_landing_is_repeatable(spark, tmp_path):
     for part in ledger.iterdir():
         part.unlink()
     ledger.rmdir()
-    assert land_period(spark, str(base), lake, "export", "2019") == ["20190103"]
+    assert land_period(spark, str(base), lake, "export", "2019").days == ["20190103"]
     assert read_lake(spark, lake, "export").count() == 8
 
     from_lines = parse_events(read_archive_lines(spark, archive_glob(str(base), "2019", "export")))
     from_lake = read_lake(spark, lake, "export").select(*from_lines.columns)
     assert from_lake.exceptAll(from_lines).count() == from_lines.exceptAll(from_lake).count() == 0
 
+    # a late archive after the landed ones were moved away adds its rows and takes none
+    for path in base.glob("20190102*"):
+        path.unlink()
+    write_zip(base / "20190102003000.export.CSV.zip", _event_line(101, "20190102"))
+    assert land_period(spark, str(base), lake, "export", "2019").days == ["20190102"]
+    assert read_lake(spark, lake, "export", "20190102").count() == 5
+    # an archive that comes again with another size replaces its own rows
+    write_zip(base / "20190102003000.export.CSV.zip", _event_line(101, "20190102"), _event_line(102, "20190102"))
+    assert land_period(spark, str(base), lake, "export", "2019").days == ["20190102"]
+    assert read_lake(spark, lake, "export", "20190102").count() == 6
+    assert land_period(spark, str(base), lake, "export", "2019").days == []
+
+
+def test_unreadable_archives_are_reported_and_tried_again(spark, tmp_path):
+    base, lake = tmp_path / "in", str(tmp_path / "lake")
+    base.mkdir()
+    write_zip(base / "20190101000000.export.CSV.zip", _event_line(1, "20190101"))
+    (base / "20190101001500.export.CSV.zip").write_bytes(b"<html>")
+    write_zip(base / "20190101003000.export.CSV.zip", *(_event_line(n, "20190101") for n in range(500)))
+    whole = (base / "20190101003000.export.CSV.zip").read_bytes()
+    (base / "20190101003000.export.CSV.zip").write_bytes(whole[:-40])
+    landed = land_period(spark, str(base), lake, "export", "2019")
+    assert landed.days == ["20190101"] and [name[8:14] for name, _ in landed.rejected] == ["001500", "003000"]
+    assert read_lake(spark, lake, "export").count() == 1
+    (base / "20190101003000.export.CSV.zip").write_bytes(whole)
+    landed = land_period(spark, str(base), lake, "export", "2019")
+    assert landed.days == ["20190101"] and len(landed.rejected) == 1
+    assert read_lake(spark, lake, "export").count() == 501
+    assert not list(Path(lake, "_staging").iterdir())
+
+
+def test_only_ready_archives_of_a_manifest_are_landed(spark, tmp_path):
+    base, lake = tmp_path / "in", str(tmp_path / "lake")
+    base.mkdir()
+    sizes = []
+    for minute in ("0000", "1500", "3000"):
+        path = base / f"2019010100{minute}.export.CSV.zip"
+        write_zip(path, _event_line(int(minute), "20190101"))
+        sizes.append(path.stat().st_size)
+    (tmp_path / "list.txt").write_text(
+        f"{sizes[0]} m {FEED}20190101000000.export.CSV.zip\n{sizes[1] + 1} m {FEED}20190101001500.export.CSV.zip\n")
+    manifest = select_period(read_manifest(spark, str(tmp_path / "list.txt")), "2019")
+    assert land_period(spark, str(base), lake, "export", "2019", manifest).days == ["20190101"]
+    assert [r.GLOBALEVENTID for r in read_lake(spark, lake, "export").collect()] == [0]
+
+
+@pytest.mark.parametrize("period, rows", [("2019", 4), ("201901", 3), ("20190101", 2), ("2019010100", 1),
+                                          ("20190101013000", 1)])
+def test_periods_of_any_length(spark, tmp_path, period, rows):
+    base, lake = tmp_path / "in", str(tmp_path / "lake")
+    base.mkdir()
+    for stamp in ("20190101000000", "20190101013000", "20190102000000", "20190201000000"):
+        write_zip(base / f"{stamp}.export.CSV.zip", _event_line(stamp[4:10], stamp[:8]))
+    land_period(spark, str(base), lake, "export", "2019")
+    from_lake = read_lake(spark, lake, "export", period).select("GLOBALEVENTID")
+    from_zips = archive_records(spark, str(base), period)("export").select("GLOBALEVENTID")
+    assert sorted(from_lake.collect()) == sorted(from_zips.collect()) and from_lake.count() == rows
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        read_lake(spark, lake, "export", "2020")
+
+
+def test_periods_are_stored_side_by_side(spark, tmp_path):
+    def mart(*days):
+        return spark.createDataFrame([(day, "FR", "", 1) for day in days],
+                                     "sqldate string, country string, language string, count long")
+
+    target = str(tmp_path / "querya")
+    for _ in "12":
+        write_period(mart("20190101"), "querya", target, "201901")
+    write_period(mart("20190201", "20190202"), "querya", target, "201902")
+    assert sorted(r.sqldate for r in read_mart(spark, target, "querya").collect()) == [20190101, 20190201, 20190202]
+    with pytest.raises(ValueError, match="no rows"):
+        write_period(mart("20190101").limit(0), "querya", target, "201901")
+    with pytest.raises(ValueError, match="overlaps"):
+        write_period(mart("20190101"), "querya", target, "2019")
+    assert read_mart(spark, target, "querya").count() == 3
+    write_period(mart("20190101").limit(0), "querya", target, "201901", allow_empty=True)
+    assert read_mart(spark, target, "querya").count() == 2
+    assert not list(Path(target).glob("_staging*"))
+
 
 def test_lake_scan_is_pruned(spark, tmp_path):
     base, lake = tmp_path / "in", str(tmp_path / "lake")
@@ -95,7 +176,7 @@ def test_lake_scan_is_pruned(spark, tmp_path):
     scan = next(line for line in plan.splitlines() if "FileScan" in line)
     assert "PushedFilters: [IsNotNull(ActionGeo_CountryCode), EqualTo(ActionGeo_CountryCode,FR)]" in scan
     assert "ReadSchema: struct<SQLDATE:string,ActionGeo_CountryCode:string>" in scan
-    assert "PartitionFilters: [" in scan and "StartsWith" in scan
+    assert "day=20190101" in scan and "day=20190201" not in scan
     assert [r.SQLDATE for r in january.collect()] == ["20190101"]
 
 
@@ -111,7 +192,7 @@ def test_archives_to_stored_marts(spark, tmp_path):
     write_zip(base / "20190101000000.gkg.csv.zip", "\t".join(article))
     lake = str(tmp_path / "lake")
     for kind in ("export", "mentions", "gkg"):
-        assert land_period(spark, str(base), lake, kind, "2019") == ["20190101"]
+        assert land_period(spark, str(base), lake, kind, "2019").days == ["20190101"]
 
     expected = {
         "querya": {(20190101, "FR", "fra", 1), (20190101, "FR", "", 1), (20190101, "FR", None, 1)},
@@ -121,6 +202,9 @@ def test_archives_to_stored_marts(spark, tmp_path):
         "querycperson": {(20190101, "2019", "0101", "01", "src", "p", 1, 2.5)},
         "queryccountry": {(20190101, "2019", "0101", "01", "src", c, 1, 2.5) for c in ("France", "Chad")},
         "queryd2": {(1, 1, 2019, 1, 2.5, "Chad", "France")},
+        "queryb2rollup": {("FR", 2019, 1, 1, "day", 3, 4), ("FR", 2019, 1, None, "month", 3, 4),
+                          ("FR", 2019, None, None, "year", 3, 4)},
+        "queryd2monthly": {("Chad", "France", 1, 2.5, 1)},
     }
     for label, records in (("lake", lake_records(spark, lake, "2019")),
                            ("zips", archive_records(spark, str(base), "2019"))):

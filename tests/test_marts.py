@@ -1,8 +1,11 @@
 import random
 from collections import Counter
 
+import pytest
+
 from pyspark.sql import functions as F
 
+from newsmart import functions as fn
 from newsmart import operators as op
 from newsmart import plans
 from newsmart.operators.filters import ALIAS_PAIRS, WATCHLIST
@@ -43,9 +46,39 @@ def test_mart_b_matches_brute_force_with_hot_ids(spark):
     events, mentions, e, m = _feed(spark)
     copies, mentioned = Counter(i for i, *_ in events), Counter(i for i, *_ in mentions)
     want = Counter((i, d, copies[i] * max(mentioned[i], 1), mentioned[i], c, 2019, d[4:6], d[6:]) for i, d, c, _ in events)
-    for hot_rows in (1, 3, 100, 10**6):
-        got = plans.event_mentions(e, m, hot_rows).collect()
-        assert Counter(map(tuple, got)) == want, hot_rows
+    assert Counter(map(tuple, plans.event_mentions(e, m).collect())) == want
+
+
+def test_repeated_rows_come_back_in_blocks(spark):
+    df = spark.createDataFrame([("a", 25), ("b", 1), ("c", 10)], "name string, copies long")
+    got = Counter(r.name for r in op.repeat_rows(df, "copies", block=10).collect())
+    assert got == {"a": 25, "b": 1, "c": 10}
+
+
+def test_mart_b_reads_its_inputs_once(spark):
+    *_, e, m = _feed(spark)
+    reads = spark.sparkContext.accumulator(0), spark.sparkContext.accumulator(0)
+
+    def counting(df, reads):
+        def count(batches):
+            for batch in batches:
+                reads.add(batch.num_rows)
+                yield batch
+        return df.mapInArrow(count, df.schema)
+
+    plans.event_mentions(counting(e, reads[0]), counting(m, reads[1])).collect()
+    assert [x.value for x in reads] == [e.count(), m.count()]
+
+
+def test_exact_mean_in_any_order(spark):
+    values = [0.1, 1e16, 0.3, -1e16, 7.7] * 20
+    means = {spark.createDataFrame([(v,) for v in some], "t double").select(fn.exact_mean("t")).first()[0]
+             for some in (values, values[::-1], sorted(values))}
+    assert len(means) == 1 and abs(means.pop() - 1.62) < 1e-9
+    odd = spark.createDataFrame([(1, float("inf")), (1, 2.0), (2, float("nan")), (2, 1.0), (3, None), (4, 1e300)],
+                                "k int, t double").groupBy("k").agg(fn.exact_mean("t").alias("m"))
+    got = {r.k: r.m for r in odd.collect()}
+    assert got[1] == float("inf") and got[2] != got[2] and got[3] is None and got[4] == 1e300
 
 
 def test_copied_id_multiplies_its_count(spark):
@@ -127,9 +160,10 @@ def test_grid_of_one_row_has_no_spread(spark):
 
 
 def test_without_top_row_on_nulls(spark):
-    df = spark.createDataFrame([("FR", None, 9), ("FR", "", 9), ("US", "fra", 1)],
-                               "country string, language string, count int")
-    assert {tuple(r) for r in plans.ranked_from_second(df).collect()} == {("FR", "", 9), ("US", "fra", 1)}
+    df = spark.createDataFrame([("1", "FR", None, 9), ("1", "FR", "", 9), ("1", "US", "fra", 1), ("2", "FR", None, 8)],
+                               "sqldate string, country string, language string, count int")
+    assert {tuple(r) for r in plans.ranked_from_second(df).collect()} == {
+        ("1", "FR", "", 9), ("1", "US", "fra", 1), ("2", "FR", None, 8)}
     assert plans.ranked_from_second(df.limit(0)).count() == 0
 
 
@@ -147,6 +181,9 @@ def test_mart_types(spark):
                                "country1 string, country2 string, extra string")
     out = to_mart_schema(df, "queryd2")
     assert tuple(out.collect()[0]) == (1, None, 2019, 5, 1.25, "a", "b")
+    for wrong in ({"n_articles": 3_000_000_000}, {"year": "x"}):
+        with pytest.raises(Exception, match="does not fit"):
+            to_mart_schema(df.withColumns({k: F.lit(v) for k, v in wrong.items()}), "queryd2").collect()
     assert [f.dataType for f in out.schema] == [f.dataType for f in MARTS["queryd2"].schema]
 
 
