@@ -17,11 +17,12 @@ def month_grid(monthly: DataFrame, watchlist: tuple[str, ...], months: list[int]
     mean tone of the frame, article counts as a percentage of their spread; a cell without data gets bucket 5 and
     zeros. The cells come from the watch list alone, so the grid's size does not depend on the data.
     """
-    # One row of least and greatest values, joined to every row; the join is by a constant, so it stays an equi-join.
+    # Least and greatest values are one row, repeated for each month shown, so that the join has a key.
     frame = monthly.agg(
         F.min("mean_tone").alias("low"), (F.max("mean_tone") - F.min("mean_tone")).alias("tones"),
-        (F.max("n_articles") - F.min("n_articles")).alias("articles")).withColumn("frame", F.lit(1))
-    placed = monthly.withColumn("frame", F.lit(1)).join(F.broadcast(frame), "frame")
+        (F.max("n_articles") - F.min("n_articles")).alias("articles"))
+    shown = F.array(*(F.lit(month) for month in months)).cast("array<int>")
+    placed = monthly.join(F.broadcast(frame.withColumn("month", F.explode(shown))), "month")
     tone_place = F.try_divide(F.col("mean_tone") - F.col("low"), "tones") * (BUCKETS - 1)
     shaded = placed.select(
         "country1", "country2", "month", "mean_tone", "n_articles",
