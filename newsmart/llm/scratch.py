@@ -9,14 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a local session without one gets a folder of its own."""
+    """The folder named by ``spark.checkpoint.dir``, as a whole address; a local session without one gets a folder of
+    its own."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         if not spark.sparkContext.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="llm-checkpoint-")
         spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    whole = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString().rstrip("/")
+    return "file://" + whole.removeprefix("file:") if whole.startswith("file:/") and "//" not in whole else whole
 
 
 def fresh_path(spark: SparkSession, what: str) -> str:
