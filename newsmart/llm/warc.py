@@ -58,8 +58,10 @@ def build_dictionary(records: list[bytes], size: int = DICTIONARY_BYTES):
     """A dictionary trained on records, cut into short samples; None where there is too little to train on."""
     import zstandard
 
-    samples = [record[at:at + 4096] for record in records for at in range(0, len(record), 4096)]
-    size = min(size, sum(map(len, samples)) // 8)
+    total = sum(map(len, records))
+    piece = max(128, min(4096, total // 256))
+    samples = [record[at:at + piece] for record in records for at in range(0, len(record), piece)]
+    size = min(size, total // 8)
     if len(samples) < 8 or size < 1024:
         return None
     try:
