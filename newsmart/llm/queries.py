@@ -42,7 +42,7 @@ def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return without_repeated_lines(_table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_dropped", "text")
+    return without_repeated_lines(_table(spark, sf_dir, "documents")).select("doc_id", "n_dropped", "text")
 
 
 def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
