@@ -122,7 +122,7 @@ def write_archives(linked: DataFrame, folder: str, scratch: Scratch, date: str =
             name, count, written = f"{base}/{uuid.uuid4().hex}.warc.zst", 0, 0
             dictionary = build_dictionary(sample)
             press = zstandard.ZstdCompressor(level=level, dict_data=dictionary, write_checksum=True)
-            with system.open_output_stream(name) as out:
+            with system.open_output_stream(name, compression=None) as out:
                 if dictionary is not None:
                     content = dictionary.as_bytes()
                     out.write(struct.pack("<II", DICTIONARY_MAGIC, len(content)) + content)
@@ -204,7 +204,7 @@ def read_archives(listing: DataFrame, folder: str, payloads: bool = False) -> Da
         for batch in batches:
             for archive in batch.column("archive"):
                 rows, held = [], 0
-                with system.open_input_stream(archive.as_py()) as source:
+                with system.open_input_stream(archive.as_py(), compression=None) as source:
                     for record in frames(source):
                         rows.append(parsed(record))
                         held += len(rows[-1][-1] or b"") + 200
