@@ -161,7 +161,7 @@ def test_repeated_lines(spark):
 
     docs = [(at, "\n".join(variant(draws.choice(bases)) for _ in range(draws.randrange(1, 8)))) for at in range(60)]
     docs += [(100, None), (101, ""), (102, "\n\n"), (None, bases[0]), (103, "ab\nab\nab"), (104, bases[0] + "\n"),
-             (105, "tail " * 3000 + "\nend of it"), (106, "tail " * 3000)]
+             (105, "one two three four five " * 600 + "\nend of it"), (106, "one two three four five " * 600)]
     frame = spark.createDataFrame(docs, "doc_id long, text string").selectExpr("*", "1 AS dropped", "2 AS n_dropped", "3 AS at")
     got = {(r.doc_id, at) for r in repeated_lines(frame).collect() for at in r.dropped}
     assert got == brute_drops(spark, frame)
