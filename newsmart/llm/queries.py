@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .language import fit, identify
-from .lines import without_repeated_lines
+from .lines import without_like_lines
 from .minhash import near_duplicates
 from .mixing import mix
 from .neighbours import nearest_neighbours
@@ -42,7 +42,7 @@ def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return without_repeated_lines(_table(spark, sf_dir, "documents")).select("doc_id", "n_dropped", "text")
+    return without_like_lines(_table(spark, sf_dir, "documents")).select("doc_id", "n_dropped", "text")
 
 
 def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
