@@ -104,17 +104,84 @@ def calibrated(cells: DataFrame, fraction: float) -> DataFrame:
     return cells.withColumn("probability", F.least(rate * scale, F.lit(1.0)))
 
 
+def reachable(cells: DataFrame, margin: str, target: DataFrame, budget: float) -> DataFrame:
+    """(value, want, wish): of ``budget`` tokens, those each value of ``margin`` is to have (``wish``) and can have (``want``).
+
+    A value that holds fewer tokens than its share gives all it has, and the others share what is left.
+    """
+    held = cells.groupBy(F.col(margin).alias("value")).agg(F.sum("tokens").alias("held"))
+    values = held.join(target, "value").select("value", "held", (F.col("share") * budget).alias("wish"))
+    scale, full = 1.0, -1
+    while True:
+        short = F.col("wish") * scale >= F.col("held")
+        row = values.agg(
+            F.count(F.when(short, 1)).alias("full"), F.coalesce(F.sum(F.when(short, F.col("held"))), F.lit(0)).alias("whole"),
+            F.coalesce(F.sum(F.when(~short, F.col("wish"))), F.lit(0.0)).alias("open")).first()
+        if row.full == full or not row.open:
+            break
+        full, scale = row.full, max(scale, (budget - row.whole) / row.open)
+    return values.select("value", F.least(F.col("wish") * scale, F.col("held")).alias("want"), "wish")
+
+
+def bounded_rake(cells: DataFrame, targets: dict[str, DataFrame], fraction: float, scratch: Scratch,
+                 tolerance: float = 1e-4, rounds: int = 60) -> tuple[DataFrame, DataFrame]:
+    """Cells with ``probability``, and (margin, value, wish, got): the values whose ``wish`` of tokens is missed.
+
+    Raked to the targets that can be reached with ``fraction`` of all tokens, no cell giving more than it has: cells that
+    are full are held, and the open cells of a value share what is left of it, so what a full cell cannot give is
+    spread inside its margins. Margins that cannot be met together end after ``rounds``.
+    """
+    budget = fraction * (cells.agg(F.sum("tokens")).first()[0] or 0)
+    for margin, target in targets.items():
+        cells = cells.join(reachable(cells, margin, target, budget).select(
+            F.col("value").alias(margin), F.col("want").alias(f"want_{margin}"), F.col("wish").alias(f"wish_{margin}")), margin)
+    cells = scratch.keep(cells.withColumn("weight", F.col("tokens") * F.lit(float(fraction))), "cells")
+    taken = F.least("weight", F.col("tokens").cast("double"))
+    is_full = F.col("weight") >= F.col("tokens")
+    for _ in range(rounds):
+        moved = cells
+        for margin in targets:
+            held = moved.groupBy(margin).agg(
+                F.coalesce(F.sum(F.when(is_full, F.col("tokens"))), F.lit(0)).alias("whole"),
+                F.coalesce(F.sum(F.when(~is_full, F.col("weight"))), F.lit(0.0)).alias("open"), F.sum(taken).alias("held"))
+            want = F.col(f"want_{margin}")
+            factor = F.when((want > F.col("whole")) & (F.col("open") > 0), (want - F.col("whole")) / F.col("open")).when(
+                want >= F.col("whole"), F.lit(1.0)).otherwise(F.coalesce(F.try_divide(want, "held"), F.lit(0.0)))
+            # A full cell grows no further, or it could not come back when another margin needs it to.
+            moved = moved.join(held.select(margin, "whole", "open", "held"), margin).withColumn(
+                "weight", F.least(F.when(is_full & (factor > 1), F.col("weight")).otherwise(F.col("weight") * factor),
+                                  F.col("tokens") * 16.0)).drop("whole", "open", "held")
+        moved = scratch.keep(moved, "cells")
+        gaps = [moved.groupBy(margin).agg(F.abs(F.try_divide(F.sum(taken), F.max(f"want_{margin}")) - 1).alias("gap"))
+                .select("gap") for margin in targets]
+        gap = reduce(DataFrame.unionAll, gaps).agg(F.max("gap")).first()[0]
+        scratch.drop(cells)
+        cells = moved
+        if gap is None or gap < tolerance:
+            break
+    missed = reduce(DataFrame.unionAll, (
+        cells.groupBy(margin).agg(F.max(f"wish_{margin}").alias("wish"), F.sum(taken).alias("got"))
+        .select(F.lit(margin).alias("margin"), F.col(margin).alias("value"), "wish", "got") for margin in targets))
+    return (cells.withColumn("probability", F.coalesce(F.try_divide(taken, "tokens"), F.lit(0.0))),
+            missed.where(F.abs(F.col("got") - F.col("wish")) > 10 * tolerance * F.col("wish")))
+
+
 def draw(doc_id: Column, text: Column, seed: int) -> Column:
     """A number in [0, 1) from a document's id, or from its text where it has none."""
     name = F.concat(F.coalesce(doc_id.cast("string"), text, F.lit("")), F.lit(f":{seed}"))
     return F.conv(F.substring(F.md5(name), 1, 13), 16, 10).cast("long") / float(16 ** 13)
 
 
-def mixing_plan(docs: DataFrame, fraction: float, powers: dict[str, float], scratch: Scratch) -> DataFrame:
-    """(source, lang, topic, probability) of described ``docs``."""
-    cells = scratch.keep(
+def token_cells(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """(source, lang, topic, tokens) of described ``docs``, without empty cells."""
+    return scratch.keep(
         docs.groupBy(*(F.col(f"__{name}").alias(name) for name in MARGINS)).agg(F.sum("__tokens").alias("tokens"))
         .where("tokens > 0"), "cells")
+
+
+def mixing_plan(docs: DataFrame, fraction: float, powers: dict[str, float], scratch: Scratch) -> DataFrame:
+    """(source, lang, topic, probability) of described ``docs``."""
+    cells = token_cells(docs, scratch)
     targets = {name: tempered(cells, name, power) for name, power in powers.items()}
     return calibrated(rake(cells, targets, scratch), fraction).select(*MARGINS, "probability")
 
@@ -150,6 +217,19 @@ def mix(docs: DataFrame, fraction: float = 0.5, powers: dict[str, float] | None
         F.col("__probability").alias("probability"), F.col("__kept").alias("kept"))
 
 
+def sampled_to_margins(docs: DataFrame, fraction: float = 0.5, powers: dict[str, float] | None = None, seed: int = 1,
+                       scratch: Scratch | None = None) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``docs`` kept by ``bounded_rake``'s probabilities, with their own columns, and the margins it missed."""
+    scratch = scratch or Scratch(docs.sparkSession)
+    rows = described(docs)
+    slim = scratch.keep(rows.select(*(f"__{name}" for name in (*MARGINS, "tokens"))), "described")
+    cells = token_cells(slim, scratch)
+    powers = powers or dict.fromkeys(MARGINS, 0.5)
+    plan, missed = bounded_rake(
+        cells, {name: tempered(cells, name, power) for name, power in powers.items()}, fraction, scratch)
+    return with_probability(rows, plan.select(*MARGINS, "probability"), seed).where("__kept").select(*docs.columns), missed
+
+
 def sampled(docs: DataFrame, fraction: float = 0.5, powers: dict[str, float] | None = None, seed: int = 1,
             scratch: Scratch | None = None) -> DataFrame:
     """The rows of ``docs`` that ``mix`` keeps, with their own columns."""
