@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .importance import resample
 from .language import fit, identify
 from .lines import without_like_lines
 from .minhash import near_duplicates
@@ -71,6 +72,10 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), words=2)
 
 
+def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -88,6 +93,7 @@ QUERIES = {
     "op8_language": op8_language,
     "op9_quality": op9_quality,
     "op10_minhash": op10_minhash,
+    "op11_importance": op11_importance,
     "pipeline": pipeline,
 }
 
@@ -188,4 +194,44 @@ SQL: dict[str, str] = {
         FROM documents LEFT JOIN sizes USING (doc_id)
         JOIN (SELECT node, min(seen) AS c FROM reach GROUP BY node) ON node = doc_id
     """,
+    "op11_importance": r"""
+        WITH crc_table AS MATERIALIZED (
+            SELECT list(c ORDER BY i) AS crcs FROM (
+                SELECT i, list_reduce([i] || list_transform(range(8), lambda k: 0::BIGINT),
+                    lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+                FROM (SELECT unnest(range(256)) AS i))),
+        texts AS (
+            SELECT 'd' AS kind, doc_id, text FROM documents UNION ALL SELECT 'b', NULL, text FROM benchmark),
+        words AS MATERIALIZED (
+            SELECT kind, doc_id, unnest(list_filter(regexp_split_to_array(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '')) AS word
+            FROM texts),
+        vocabulary AS (SELECT word, hex(encode(word)) AS h FROM (SELECT DISTINCT word FROM words)),
+        places AS MATERIALIZED (
+            SELECT word, xor(list_reduce([4294967295] || list_transform(range(length(h) // 2),
+                       lambda i: ('0x' || substr(h, 2 * i + 1, 2))::BIGINT),
+                       lambda c, b: xor(c >> 8, crcs[(xor(c, b) & 255) + 1])), 4294967295) % 10000 AS bucket
+            FROM vocabulary, crc_table),
+        counts AS (
+            SELECT bucket, count(*) FILTER (kind = 'd') AS s, count(*) FILTER (kind = 'b') AS t
+            FROM words JOIN places USING (word) GROUP BY bucket),
+        gains AS (
+            SELECT bucket, floor(1000 * ln((t + 1)::DOUBLE * ((SELECT sum(s) FROM counts) + 10000)::DOUBLE
+                / ((s + 1)::DOUBLE * ((SELECT sum(t) FROM counts) + 10000)::DOUBLE)))::BIGINT AS gain
+            FROM counts),
+        sums AS (
+            SELECT doc_id, count(*) AS n, floor(sum(gain)::DOUBLE / count(*))::BIGINT AS weight
+            FROM words JOIN places USING (word) JOIN gains USING (bucket) WHERE kind = 'd' GROUP BY doc_id),
+        scored AS (
+            SELECT documents.doc_id, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight,
+                   coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || documents.doc_id), 1, 8))
+                       ::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+            FROM documents LEFT JOIN sums USING (doc_id)),
+        ranked AS (
+            SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS many
+            FROM scored WHERE n_features >= 20)
+        SELECT doc_id, n_features, weight, score, CASE WHEN place <= 10 * many // 100 THEN place END AS rank
+        FROM scored LEFT JOIN ranked USING (doc_id)
+    """,
 }
