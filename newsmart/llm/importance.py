@@ -194,13 +194,13 @@ def bucket_counts(hashed: DataFrame, buckets: int = BUCKETS) -> DataFrame:
 
 def bucket_gains(source: DataFrame, target: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     """(bucket, gain) for every bucket, from the counts (bucket, n) of source and target."""
+    all_s, all_t = (counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] for counts in (source, target))
     counts = (
         source.sparkSession.range(buckets).select(F.col("id").alias("bucket"), F.lit(0).alias("s"), F.lit(0).alias("t"))
         .unionAll(source.select("bucket", "n", F.lit(0))).unionAll(target.select("bucket", F.lit(0), "n"))
         .groupBy("bucket").agg(F.sum("s").cast("double").alias("s"), F.sum("t").cast("double").alias("t")))
-    totals = counts.agg(F.sum("s").alias("all_s"), F.sum("t").alias("all_t"))
-    ratio = (F.col("t") + 1) * (F.col("all_s") + buckets) / ((F.col("s") + 1) * (F.col("all_t") + buckets))
-    return counts.join(F.broadcast(totals)).select("bucket", F.floor(1000 * F.log(ratio)).alias("gain"))
+    ratio = (F.col("t") + 1) * float(all_s + buckets) / ((F.col("s") + 1) * float(all_t + buckets))
+    return counts.select("bucket", F.floor(1000 * F.log(ratio)).alias("gain"))
 
 
 def weighed(hashed: DataFrame, gains: list[int]) -> DataFrame:
@@ -262,7 +262,7 @@ def resample(docs: DataFrame, target: DataFrame, percent: int = PERCENT, least_w
     scratch = scratch or Scratch(docs.sparkSession)
     hashed = scratch.keep(hashed_runs(docs, buckets, runs), "runs")
     wanted = hashed_runs(target.select(F.lit(None).alias("doc_id"), "text"), buckets, runs)
-    gains = bucket_gains(bucket_counts(hashed, buckets), bucket_counts(wanted, buckets), buckets)
+    gains = bucket_gains(*(scratch.keep(bucket_counts(texts, buckets), "counts") for texts in (hashed, wanted)), buckets)
     table = [row.gain for row in sorted(gains.collect())]  # one number a bucket
     scored = scratch.keep(
         weighed(hashed, table).withColumns({
