@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .importance import resample
 from .language import fit, identify
+from .licenses import scan_licenses
 from .lines import without_like_lines
 from .minhash import near_duplicates
 from .mixing import mix
@@ -76,6 +77,10 @@ def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op13_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(_table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -94,6 +99,7 @@ QUERIES = {
     "op9_quality": op9_quality,
     "op10_minhash": op10_minhash,
     "op11_importance": op11_importance,
+    "op13_licenses": op13_licenses,
     "pipeline": pipeline,
 }
 
@@ -234,4 +240,66 @@ SQL: dict[str, str] = {
         SELECT doc_id, n_features, weight, score, CASE WHEN place <= 10 * many // 100 THEN place END AS rank
         FROM scored LEFT JOIN ranked USING (doc_id)
     """,
+    "op13_licenses": r"""
+        WITH templates(template, label, text, keys, base) AS (VALUES
+            (0, 'mit', 'under the mit license', 'mit', true),
+            (1, 'apache-2', 'apache license version 2', 'apache 2', true),
+            (2, 'cc-by-nc', 'cc by nc', 'cc by nc', true),
+            (3, 'mit', 'permission is hereby granted free of charge to any person', 'permission granted', false),
+            (4, 'apache-2', 'licensed under the apache license version 2 0', 'apache 2', false),
+            (5, 'cc-by-nc', 'creative commons attribution noncommercial', 'attribution noncommercial', false),
+            (6, 'cc-by-nc', 'creative commons attribution non commercial', 'attribution non commercial', false),
+            (7, 'gpl-3', 'gnu general public license version 3', 'gnu 3', false),
+            (8, 'gpl-2', 'gnu general public license version 2', 'gnu 2', false),
+            (9, 'lgpl', 'gnu lesser general public license', 'lesser', false),
+            (10, 'agpl', 'gnu affero general public license', 'affero', false),
+            (11, 'mpl', 'mozilla public license', 'mozilla', false),
+            (12, 'bsd', 'under the bsd license', 'bsd', false),
+            (13, 'bsd', 'redistribution and use in source and binary forms', 'redistribution binary', false)),
+        listed AS (
+            SELECT template, label, text, string_split(text, ' ') AS t, string_split(keys, ' ') AS keys, base,
+                   len(string_split(text, ' ')) AS size, greatest(1, len(string_split(text, ' ')) // 5) AS gap
+            FROM templates),
+        docs AS MATERIALIZED (
+            SELECT doc_id, list_filter(regexp_split_to_array(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w
+            FROM documents),
+        grams AS (SELECT doc_id, p, w[p + 1] AS a, w[p + 2] AS b FROM docs, unnest(range(len(w) - 1)) AS u(p)),
+        diagonals AS (
+            SELECT doc_id, template, p - j AS d, count(*) AS votes
+            FROM grams JOIN (SELECT template, j, t[j + 1] AS a, t[j + 2] AS b FROM listed, unnest(range(size - 1)) AS v(j))
+            USING (a, b) GROUP BY ALL),
+        placed AS MATERIALIZED (
+            SELECT diagonals.*, w, t, text, label, keys, base, size, gap,
+                   greatest(d - 2 * gap, 0) AS lo, least(d + size + 2 * gap, len(w)) AS hi
+            FROM diagonals JOIN listed USING (template) JOIN docs USING (doc_id)
+            WHERE list_has_all(w[greatest(d - 2 * gap, 0) + 1:least(d + size + 2 * gap, len(w))], keys)),
+        exact AS (SELECT doc_id, label, d AS start FROM placed WHERE base AND d >= 0 AND w[d + 1:d + size] = t),
+        grouped AS (
+            SELECT doc_id, template, place, any_value(label) AS label, any_value(text) AS text, any_value(size) AS size, any_value(gap) AS gap,
+                   any_value(keys) AS keys, any_value(w) AS w, min(d) AS low, max(d) AS high,
+                   arg_max({'lo': lo, 'hi': hi}, (votes, -d)) AS best
+            FROM (SELECT *, sum(fresh) OVER (PARTITION BY doc_id, template ORDER BY d) AS place
+                  FROM (SELECT *, CASE WHEN d - lag(d) OVER (PARTITION BY doc_id, template ORDER BY d) <= gap
+                                       THEN 0 ELSE 1 END AS fresh FROM placed))
+            GROUP BY doc_id, template, place),
+        spans AS (
+            SELECT doc_id, label, text, keys, w[s + 1:e] AS words
+            FROM grouped, unnest(range(greatest(low - gap, best.lo), least(high + gap, best.hi - 1) + 1)) AS x(s),
+                 unnest(range(greatest(low + size - gap, best.lo + 1), least(high + size + gap, best.hi) + 1)) AS y(e)
+            WHERE s < e),
+        rated AS (
+            SELECT doc_id, label,
+                   (greatest(length(array_to_string(words, ' ')), length(text)) - levenshtein(array_to_string(words, ' '), text))
+                   / greatest(length(array_to_string(words, ' ')), length(text)) AS similarity
+            FROM spans WHERE list_has_all(words, keys)),
+        told AS (
+            SELECT doc_id, start, label AS base_label, label, 1.0::DOUBLE AS score FROM exact
+            UNION ALL SELECT doc_id, NULL, NULL, label, similarity FROM rated WHERE similarity >= 0.8)
+        SELECT docs.doc_id, len(any_value(w))::BIGINT AS n_words, count(start) AS n_base, min(start)::BIGINT AS first_word,
+               max(start)::BIGINT AS last_word, coalesce(string_agg(DISTINCT base_label, ',' ORDER BY base_label), '') AS base_labels,
+               coalesce(string_agg(DISTINCT label, ',' ORDER BY label), '') AS labels, coalesce(max(score), 0.0)::DOUBLE AS score
+        FROM docs LEFT JOIN told USING (doc_id) GROUP BY docs.doc_id
+    """,
 }
