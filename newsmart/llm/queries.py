@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .codes import ENTRIES, PARTS, ROUNDS, SCALE, vector_codes
 from .importance import resample
 from .language import fit, identify
 from .licenses import scan_licenses
@@ -77,6 +78,10 @@ def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes(_table(spark, sf_dir, "embeddings"))
+
+
 def op13_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(_table(spark, sf_dir, "documents"))
 
@@ -99,10 +104,47 @@ QUERIES = {
     "op9_quality": op9_quality,
     "op10_minhash": op10_minhash,
     "op11_importance": op11_importance,
+    "op12_vector_codes": op12_vector_codes,
     "op13_licenses": op13_licenses,
     "pipeline": pipeline,
 }
 
+def _codes_sql(parts: int = PARTS, entries: int = ENTRIES, rounds: int = ROUNDS, scale: int = SCALE) -> str:
+    """Integer k-means, one set of tables a round."""
+    apart = "list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+    steps = []
+    for turn in range(rounds + 1):
+        steps.append(f"""
+        near{turn} AS MATERIALIZED (
+            SELECT row_no, p, any_value(x) AS x, arg_min(e, (d, e)) AS e, min(d) AS d
+            FROM (SELECT row_no, p, x, e, {apart} AS d FROM parts JOIN book{turn} USING (p)) GROUP BY row_no, p)""")
+        if turn < rounds:
+            steps.append(f"""
+        book{turn + 1} AS MATERIALIZED (
+            SELECT p, e, coalesce(m, c) AS c FROM book{turn} LEFT JOIN (
+                SELECT p, e, list(mean ORDER BY i) AS m FROM (
+                    SELECT p, e, i, floor(sum(x[i])::DOUBLE / count(*))::BIGINT AS mean
+                    FROM near{turn}, unnest(range(1, len(x) + 1)) AS u(i) GROUP BY p, e, i) GROUP BY p, e) USING (p, e))""")
+    return f"""
+        WITH kept AS MATERIALIZED (
+            SELECT row_number() OVER (ORDER BY vec_id) AS row_no, vec_id, label,
+                   list_transform(embedding, lambda x: floor({scale} * x::DOUBLE)::BIGINT) AS v
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        parts AS MATERIALIZED (
+            SELECT row_no, p, v[p * len(v) // {parts} + 1:(p + 1) * len(v) // {parts}] AS x
+            FROM kept, unnest(range({parts})) AS u(p)),
+        book0 AS (SELECT p, row_no - 1 AS e, x AS c FROM parts WHERE row_no <= {entries}),{",".join(steps)},
+        coded AS (
+            SELECT row_no, string_agg(lower(printf('%02x', e)), '' ORDER BY p) AS code, sum(d)::BIGINT AS error
+            FROM near{rounds} GROUP BY row_no),
+        digest AS (
+            SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM book{rounds})
+        SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+        FROM kept JOIN coded USING (row_no), digest
+    """
+
+
 SQL: dict[str, str] = {
     "op2_warc": """
         WITH payloads AS (
@@ -240,6 +282,7 @@ SQL: dict[str, str] = {
         SELECT doc_id, n_features, weight, score, CASE WHEN place <= 10 * many // 100 THEN place END AS rank
         FROM scored LEFT JOIN ranked USING (doc_id)
     """,
+    "op12_vector_codes": _codes_sql(),
     "op13_licenses": r"""
         WITH templates(template, label, text, keys, base) AS (VALUES
             (0, 'mit', 'under the mit license', 'mit', true),
