@@ -12,9 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from newsmart.llm import lines as line_module
 from newsmart.llm.language import fit, identified, identify
-from newsmart.llm.lines import deduplicated, hashed_lines, pieces, repeated_lines, without_repeated_lines
 from newsmart.llm.mixing import mix, rake, sampled
 from newsmart.llm.packing import fill_window, fillings, place_pieces
 from newsmart.llm.placement import fill_table, place_documents
@@ -23,7 +21,6 @@ from newsmart.llm.queries import pack_with_public_tokenizer
 from newsmart.llm.rules import holds
 from newsmart.llm.scratch import Scratch, fresh_path
 from newsmart.llm.warc import DICTIONARY_MAGIC, archive_pages, link_revisits, read_archives, write_archives
-from test_llm_graphs import least_reachable
 
 SF = "/root/testdata/sf0.001"
 
@@ -134,58 +131,6 @@ def edit_distance(a, b):
     return row[-1]
 
 
-def brute_drops(spark, frame, similarity=0.8):
-    texts = frame.where("doc_id IS NOT NULL").select(
-        "doc_id", F.posexplode(pieces(F.col("text"))).alias("at", "piece")).select(
-        "doc_id", "at", line_module.normalised(F.col("piece")).alias("line"))
-    rows = hashed_lines(frame, 3).join(texts, ["doc_id", "at"]).distinct().collect()
-    lines = {r.line: r.simhash for r in rows}
-    near = [(a, b) for (a, x), (b, y) in itertools.combinations(lines.items(), 2)
-            if (x ^ y).bit_count() <= 3 and abs(len(a) - len(b)) <= 0.2 * max(len(a), len(b))
-            and edit_distance(a, b) <= int(0.2 * max(len(a), len(b)) + 1e-9)]
-    group = least_reachable(set(lines), near)
-    first = {}
-    for r in sorted(rows, key=lambda r: (r.doc_id, r.at)):
-        first.setdefault(group[r.line], (r.doc_id, r.at))
-    return {(r.doc_id, r.at) for r in rows if first[group[r.line]] != (r.doc_id, r.at)}
-
-
-def test_repeated_lines(spark):
-    draws = random.Random(4)
-    vocabulary = ["".join(draws.choices("abcdefghij", k=6)) for _ in range(400)]
-    bases = [" ".join(draws.choices(vocabulary, k=draws.choice([4, 20, 60, 100]))) for _ in range(25)]
-
-    def variant(line):
-        at = draws.randrange(len(line))
-        return draws.choice([line, line.upper() + "!", line[:at] + "x" + line[at:], line.replace(" ", "  -- ")])
-
-    docs = [(at, "\n".join(variant(draws.choice(bases)) for _ in range(draws.randrange(1, 8)))) for at in range(60)]
-    docs += [(100, None), (101, ""), (102, "\n\n"), (None, bases[0]), (103, "ab\nab\nab"), (104, bases[0] + "\n"),
-             (105, "one two three four five " * 600 + "\nend of it"), (106, "one two three four five " * 600)]
-    frame = spark.createDataFrame(docs, "doc_id long, text string").selectExpr("*", "1 AS dropped", "2 AS n_dropped", "3 AS at")
-    got = {(r.doc_id, at) for r in repeated_lines(frame).collect() for at in r.dropped}
-    assert got == brute_drops(spark, frame)
-    out = without_repeated_lines(frame)
-    assert out.columns == ["doc_id", "text", "dropped", "at", "n_dropped"]
-    texts = {r.doc_id: r for r in out.collect()}
-    for doc_id, text in docs:
-        parts = [p for p in __import__("re").findall(line_module._PIECES, text or "")]
-        kept = "".join(p for at, p in enumerate(parts) if (doc_id, at) not in got)
-        assert texts[doc_id].text == (None if text is None else kept)
-    assert texts[103].n_dropped == 0 and texts[None].n_dropped == 0 and texts[104].n_dropped == 1
-    assert 106 not in {r.doc_id for r in deduplicated(frame).collect()}
-    assert without_repeated_lines(frame.limit(0)).collect() == []
-
-
-@pytest.mark.parametrize("count", [3, 4, 61, 512])
-def test_simhash_is_the_majority(spark, count):
-    words = [f"{at % 10}" if count == 512 else f"w{at}" for at in range(count)]
-    frame = spark.createDataFrame([(1, " ".join(words)), (1, " ".join(words))], "doc_id long, text string")
-    got = {r.simhash for r in hashed_lines(frame, 3).collect()}
-    hashes = [r.h for r in spark.createDataFrame([(w,) for w in sorted(set(words))], "w string").selectExpr("xxhash64(w) AS h").collect()]
-    assert got == {sum(1 << bit for bit in range(60) if 2 * sum(h >> bit & 1 for h in hashes) > len(hashes))}
-
-
 def test_raking_meets_its_targets(spark):
     draws = random.Random(2)
     rows = [(s, g, draws.choice("xyz"), draws.randrange(1, 1000)) for s in "abcdefgh" for g in ("en", "de", None) for _ in "12"]
