@@ -44,6 +44,13 @@ def rejected_lines(lines: DataFrame, kind: str) -> DataFrame:
     return with_field_count(lines).where(~_well_formed(kind, F.col("n_fields")))
 
 
+def reject_reason(kind: str, n_fields: Column) -> Column:
+    """Why a line with so many fields is no record of this kind; null when it is one."""
+    fewest, most = FIELD_COUNT[kind]
+    few, many = (F.format_string(f"{word} fields: %d for {fewest}", n_fields) for word in ("too few", "too many"))
+    return F.when(_well_formed(kind, n_fields), F.lit(None).cast("string")).when(n_fields < fewest, few).otherwise(many)
+
+
 def _parse(lines: DataFrame, kind: str, fields, extra: dict[str, Column], keep: tuple[str, ...]) -> DataFrame:
     fewest, _ = FIELD_COUNT[kind]
     split = (

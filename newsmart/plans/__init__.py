@@ -1,6 +1,6 @@
 """Whole queries: marts, the serving queries on them, the landing job."""
 
-from .landing import land_period, reconcile
+from .landing import lake_ledger, land_period, read_lake, read_rejects, reconcile, vacuum_lake
 from .marts import (
     best_language_counts, country_pair_tone, country_tone, event_mentions, event_rollup, mart_counts, monthly_pairs,
     person_tone, theme_tone,
@@ -12,7 +12,7 @@ from .serving import (
 
 __all__ = [
     "best_language_counts", "country_pair_tone", "country_series", "country_tone", "day_slice", "event_mentions",
-    "event_rollup", "events_per_day", "events_sorted", "land_period", "mart_counts", "monthly_leaders",
-    "monthly_pairs", "person_tone", "ranked", "ranked_from_second", "reconcile", "rows_of_country", "rows_of_item",
-    "rows_of_pair", "theme_tone", "watchlist_grid",
+    "event_rollup", "events_per_day", "events_sorted", "lake_ledger", "land_period", "mart_counts", "monthly_leaders",
+    "monthly_pairs", "person_tone", "ranked", "ranked_from_second", "read_lake", "read_rejects", "reconcile", "rows_of_country", "rows_of_item",
+    "rows_of_pair", "theme_tone", "vacuum_lake", "watchlist_grid",
 ]

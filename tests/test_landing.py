@@ -3,11 +3,11 @@ from pathlib import Path
 import pytest
 
 from archives import write_zip
-from newsmart import plans
+from newsmart import commits, plans
 from newsmart.__main__ import main
 from newsmart.operators import parse_events
 from newsmart.plans.jobs import archive_records, lake_records, store_marts
-from newsmart.plans.landing import land_period, read_lake
+from newsmart.plans.landing import lake_ledger, land_period, read_lake, read_rejects, vacuum_lake
 from newsmart.schemas import EVENT_FIELDS, MARTS
 from newsmart.sinks import write_period
 from newsmart.sources import archive_glob, list_archives, read_archive_lines, read_manifest, read_mart, \
@@ -65,18 +65,17 @@ def test_landing_is_repeatable(spark, tmp_path):
     assert read_lake(spark, lake, "export").count() == 6
 
     write_zip(base / "20190102001500.export.CSV.zip", _event_line(99, "20190102"))
-    before = {p for p in Path(lake, "export", "day=20190101").glob("*.parquet")}
+    before = set(read_lake(spark, lake, "export", "20190101").inputFiles())
     assert land_period(spark, str(base), lake, "export", "2019").days == ["20190102"]
-    assert {p for p in Path(lake, "export", "day=20190101").glob("*.parquet")} == before
+    assert set(read_lake(spark, lake, "export", "20190101").inputFiles()) == before
     assert read_lake(spark, lake, "export").count() == 7
 
     # a run lost after the data and before the ledger is made good by running again
     write_zip(base / "20190103000000.export.CSV.zip", _event_line(100, "20190103"))
     land_period(spark, str(base), lake, "export", "20190103")
-    ledger = Path(lake, "_archives", "export", "day=20190103")
-    for part in ledger.iterdir():
+    for part in Path(lake, "export", "_commits").glob("*0000000003*"):  # the file and its checksum
         part.unlink()
-    ledger.rmdir()
+    assert read_lake(spark, lake, "export").count() == 7
     assert land_period(spark, str(base), lake, "export", "2019").days == ["20190103"]
     assert read_lake(spark, lake, "export").count() == 8
 
@@ -112,7 +111,121 @@ def test_unreadable_archives_are_reported_and_tried_again(spark, tmp_path):
     landed = land_period(spark, str(base), lake, "export", "2019")
     assert landed.days == ["20190101"] and len(landed.rejected) == 1
     assert read_lake(spark, lake, "export").count() == 501
-    assert not list(Path(lake, "_staging").iterdir())
+    assert not list(Path(lake, "export", "_staging").iterdir())
+
+
+def test_an_archive_without_records_left_takes_its_rows_along(spark, tmp_path):
+    base, lake = tmp_path / "in", str(tmp_path / "lake")
+    base.mkdir()
+    write_zip(base / "20190101000000.export.CSV.zip", _event_line(1, "20190101"), _event_line(2, "20190101"))
+    write_zip(base / "20190102000000.export.CSV.zip", _event_line(3, "20190102"))
+    land_period(spark, str(base), lake, "export", "2019")
+    write_zip(base / "20190101000000.export.CSV.zip", "no record\n", "nor this one\there\n", "\n")
+    landed = land_period(spark, str(base), lake, "export", "2019")
+    assert (landed.days, landed.lines, landed.records, landed.rejected_lines) == (["20190101"], 3, 0, 3)
+    assert [r.GLOBALEVENTID for r in read_lake(spark, lake, "export").collect()] == [3]
+    with pytest.raises(FileNotFoundError, match="PATH_NOT_FOUND"):
+        read_lake(spark, lake, "export", "20190101")
+    assert land_period(spark, str(base), lake, "export", "2019").days == []
+
+
+def test_lines_in_are_records_and_rejects(spark, tmp_path):
+    base, lake = tmp_path / "in", str(tmp_path / "lake")
+    base.mkdir()
+    write_zip(base / "20190101000000.export.CSV.zip", _event_line(1, "20190101"), "short\tline\n",
+              _event_line(2, "20190101").strip() + "\tone too many\n")
+    write_zip(base / "20190101001500.export.CSV.zip", "alone\n")
+    write_zip(base / "20190102000000.export.CSV.zip", _event_line(3, "20190102"))
+    (base / "20190102001500.export.CSV.zip").write_bytes(b"no zip")
+    landed = land_period(spark, str(base), lake, "export", "2019")
+    assert (landed.lines, landed.records, landed.rejected_lines) == (5, 2, 3)
+    ledger = {r["name"][:14]: r for r in lake_ledger(spark, lake, "export").collect()}
+    assert {stamp: (r.lines, r.records, r.rejected, r.problem is None) for stamp, r in ledger.items()} == {
+        "20190101000000": (3, 1, 2, True), "20190101001500": (1, 0, 1, True), "20190102000000": (1, 1, 0, True),
+        "20190102001500": (0, 0, 0, False)}
+    rejects = {(r.archive[:14], r.n_fields, r.reason, r.line[:11]) for r in read_rejects(spark, lake, "export").collect()}
+    assert rejects == {("20190101000000", 2, "too few fields: 2 for 61", "short\tline"),
+                       ("20190101000000", 62, "too many fields: 62 for 61", "2\t20190101\t"),
+                       ("20190101001500", 1, "too few fields: 1 for 61", "alone")}
+    assert read_rejects(spark, lake, "export", "20190102").count() == 0
+    assert read_rejects(spark, lake, "export", "20190101001500").count() == 1
+    # another archive of the day comes: its rejects join those that are there
+    write_zip(base / "20190101003000.export.CSV.zip", "late\n", _event_line(4, "20190101"))
+    land_period(spark, str(base), lake, "export", "2019")
+    assert read_rejects(spark, lake, "export").count() == 4 and read_lake(spark, lake, "export").count() == 3
+
+
+@pytest.mark.parametrize("step", ["commit_state", "move"])
+def test_a_run_lost_before_its_commit_changes_nothing(spark, tmp_path, monkeypatch, step):
+    base, lake = tmp_path / "in", str(tmp_path / "lake")
+    base.mkdir()
+    write_zip(base / "20190101000000.export.CSV.zip", _event_line(1, "20190101"))
+    land_period(spark, str(base), lake, "export", "2019")
+    write_zip(base / "20190101001500.export.CSV.zip", _event_line(2, "20190101"))
+    write_zip(base / "20190102000000.export.CSV.zip", _event_line(3, "20190102"))
+
+    def lost(*_):
+        raise OSError("the driver is gone")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(commits, step, lost)
+        with pytest.raises(OSError):
+            land_period(spark, str(base), lake, "export", "2019")
+    assert [r.GLOBALEVENTID for r in read_lake(spark, lake, "export").collect()] == [1]
+    assert lake_ledger(spark, lake, "export").count() == 1
+    assert land_period(spark, str(base), lake, "export", "2019").days == ["20190101", "20190102"]
+    assert sorted(r.GLOBALEVENTID for r in read_lake(spark, lake, "export").collect()) == [1, 2, 3]
+    assert len(vacuum_lake(spark, lake, "export")) == 1  # what the lost run wrote
+    assert read_lake(spark, lake, "export").count() == 3
+
+
+def test_readers_keep_the_version_they_began_with(spark, tmp_path):
+    base, lake = tmp_path / "in", str(tmp_path / "lake")
+    base.mkdir()
+    for day in ("20190101", "20190102"):
+        write_zip(base / f"{day}000000.export.CSV.zip", _event_line(1, day))
+    land_period(spark, str(base), lake, "export", "2019")
+    reader = read_lake(spark, lake, "export")
+    for day in ("20190101", "20190102"):
+        write_zip(base / f"{day}000000.export.CSV.zip", _event_line(1, day), _event_line(2, day))
+    land_period(spark, str(base), lake, "export", "2019")
+    assert reader.count() == 2 and read_lake(spark, lake, "export").count() == 4
+    write_zip(base / "20190103000000.export.CSV.zip", _event_line(1, "20190103"))
+    land_period(spark, str(base), lake, "export", "2019")
+    assert len(vacuum_lake(spark, lake, "export")) == 1 and read_lake(spark, lake, "export").count() == 5
+
+
+def test_of_two_runs_at_once_one_commits(spark, tmp_path, monkeypatch):
+    base, lake = tmp_path / "in", str(tmp_path / "lake")
+    base.mkdir()
+    write_zip(base / "20190101000000.export.CSV.zip", _event_line(1, "20190101"))
+    true = commits.commit_state
+
+    def late(*told):
+        with monkeypatch.context() as patch:
+            patch.setattr(commits, "commit_state", true)
+            land_period(spark, str(base), lake, "export", "2019")
+        return true(*told)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(commits, "commit_state", late)
+        with pytest.raises(RuntimeError, match="another run"):
+            land_period(spark, str(base), lake, "export", "2019")
+    assert read_lake(spark, lake, "export").count() == 1
+
+
+def test_a_damaged_copy_leaves_what_its_name_brought(spark, tmp_path):
+    base, lake = tmp_path / "in", str(tmp_path / "lake")
+    base.mkdir()
+    path = base / "20190101000000.export.CSV.zip"
+    write_zip(path, _event_line(1, "20190101"))
+    land_period(spark, str(base), lake, "export", "2019")
+    path.write_bytes(b"<html>")
+    assert land_period(spark, str(base), lake, "export", "2019").rejected == [(path.name, "not a zip archive")]
+    assert read_lake(spark, lake, "export").count() == 1
+    write_zip(path, _event_line(5, "20190101"), _event_line(6, "20190101"))
+    land_period(spark, str(base), lake, "export", "2019")
+    assert sorted(r.GLOBALEVENTID for r in read_lake(spark, lake, "export").collect()) == [5, 6]
 
 
 def test_only_ready_archives_of_a_manifest_are_landed(spark, tmp_path):
