@@ -20,6 +20,7 @@ from .scratch import Scratch
 
 WINDOW = 1024
 SHARD_PIECES = 20_000
+LONG_BLANK = 10_000
 
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
@@ -72,10 +73,12 @@ def tokenize_pieces(docs: DataFrame, ranks_path: str, vocabulary_path: str, patt
 
     A document's ids are those of its whole text without special tokens, then ``end_id``; a null text is empty. The
     rank file holds the vocabulary of the vocabulary file and is several times as fast; a text that spells a special
-    token goes through the vocabulary file, which knows it.
+    token goes through the vocabulary file, which knows it, and so does one with ``LONG_BLANK`` blanks of any kind in a
+    row, for which the fast way's pattern would run out of stack (it takes 500,000).
     """
     def pieces(batches):
         import base64
+        import re
         import zlib
 
         import pyarrow as pa
@@ -88,8 +91,10 @@ def tokenize_pieces(docs: DataFrame, ranks_path: str, vocabulary_path: str, patt
         full = Tokenizer.from_file(vocabulary_path)
         special = [token.content for token in full.get_added_tokens_decoder().values()]
 
+        long_blank = re.compile(rf"\s{{{LONG_BLANK}}}")
+
         def encode(text):
-            if any(token in text for token in special):
+            if any(token in text for token in special) or len(text) >= LONG_BLANK and long_blank.search(text):
                 return full.encode(text, add_special_tokens=False).ids
             return fast.encode_ordinary(text)
 

@@ -53,7 +53,8 @@ def test_fillings_use_every_piece():
 def test_packing_is_whole_and_tight(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").toPandas()
     extra = [(1000, None), (1001, ""), (1002, "a <|endoftext|> b  c"), (None, "no id"), (1003, "same"), (1003, "same"),
-             (1004, "long " * 60_000)]
+             (1004, "long " * 60_000), (1005, " " * 2_000_000), (1006, "a" + "\n" * 1_000_000 + "b"), (1007, "\t" * 1_200_000),
+             (1008, "x " + "\r\n" * 600_000 + " y"), (1009, " " * 9_999 + "z" + " " * 10_000), (1010, "\u3000" * 700_000)]
     rows = [*docs.itertuples(index=False, name=None), *extra]
     frame = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS start", "2 AS offset")
     out = pack_with_public_tokenizer(frame).toPandas()
