@@ -141,6 +141,13 @@ def _landing_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.reconcile(wanted, feed.arrived_files(spark, sf_dir)).drop("url")
 
 
+def _monthly_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The roll-up from partial sums of each day, added up."""
+    daily = _mart_d(spark, sf_dir)
+    return plans.monthly_from_states(plans.pair_state(daily.where("day < '16'")).unionAll(
+        plans.pair_state(daily.where("NOT day < '16' OR day IS NULL"))))
+
+
 def _mart_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     gkg = _gkg(spark, sf_dir)
     return plans.mart_counts({
@@ -183,8 +190,10 @@ QUERIES: dict[str, Query] = {
     "c_theme": lambda spark, d: plans.theme_tone(_gkg(spark, d)),
     "c_person": lambda spark, d: plans.person_tone(_gkg(spark, d)),
     "c_country": lambda spark, d: plans.country_tone(_gkg(spark, d)),
+    "c_items": lambda spark, d: plans.item_tones(_gkg(spark, d)),
     "d_country_pairs": _mart_d,
     "d_monthly": lambda spark, d: plans.monthly_pairs(_mart_d(spark, d)),
+    "d_monthly_states": _monthly_states,
     "mart_counts": _mart_counts,
     "mart_schema": lambda spark, d: sinks.to_mart_schema(_mart_d(spark, d), "queryd2").withColumn(
         "mean_tone", F.col("mean_tone").cast("double")),

@@ -298,12 +298,20 @@ def expected(day: str, country: str, series: tuple[str, str], pair: tuple[str, s
         "c_theme": _with(_ART, _THEMES) + f"SELECT {_item_columns('theme')} FROM mart_c",
         "c_person": _with(_ART, _PERSONS) + f"SELECT {_item_columns('person')} FROM mart_c",
         "c_country": _with(_ART, _LOC, _COUNTRIES) + f"SELECT {_item_columns('country')} FROM mart_c",
+        "c_items": "UNION ALL ".join(f"(SELECT '{kind}' AS kind, * FROM ({_with(_ART, *parts)} SELECT {_item_columns('item')} FROM mart_c))"
+                                     for kind, parts in (("theme", (_THEMES,)), ("person", (_PERSONS,)),
+                                                         ("country", (_LOC, _COUNTRIES)))),
         "d_country_pairs": _WITH_D + "SELECT * FROM mart_d",
         "d_monthly": _WITH_D + """
             SELECT country1, country2, month, CAST(sum(CAST(mean_tone AS DECIMAL(38,12))) AS DOUBLE) / count(mean_tone) AS mean_tone,
                    CAST(sum(n_articles) AS BIGINT) AS n_articles,
                    sum(tone_sum) / nullif(sum(n_articles), 0) AS weighted_tone
             FROM mart_d GROUP BY 1, 2, 3""",
+        "d_monthly_states": _WITH_D + """
+            SELECT country1, country2, month,
+                   CAST(sum(CAST(mean_tone AS DECIMAL(38,12))) AS DOUBLE) / count(mean_tone) AS mean_tone,
+                   CAST(sum(n_articles) AS BIGINT) AS n_articles
+            FROM mart_d GROUP BY 1, 2, 3""",
         "mart_counts": _with(_EVT, _MEN, _BEST, _A, _B, _ART, _LOC, _PAIR, _D, *(
             part.replace("item AS", f"{name}_item AS").replace("mart_c AS", f"mart_{name} AS")
             .replace("FROM item JOIN art ON item.id", f"FROM {name}_item AS item JOIN art ON item.id")

@@ -34,6 +34,26 @@ def tone_by_item(gkg: DataFrame, listing: Column, item: str, skip_blank: bool =
     )
 
 
+def tones_by_kind(gkg: DataFrame, listings: dict[str, Column], calendar_months: bool = False) -> DataFrame:
+    """(kind, date, year, month, day, source, item, nbarticle, tonemean) for several item lists of an article in one scan and
+    one aggregate, each list's rows as ``tone_by_item`` gives them."""
+    tagged = F.array(*(F.struct(F.lit(kind).alias("kind"), listing.alias("listing")) for kind, listing in listings.items()))
+    dated = gkg.select(
+        item_date_parts(F.col("DATE"))["date"].alias("date"),
+        F.col("SourceCommonName").alias("source"),
+        F.explode(tagged).alias("tagged"),
+        first_tone("V2Tone", "float").alias("tone"),
+    ).dropna(subset=["tone"])
+    exploded = dated.select("date", "source", "tone", "tagged.kind", F.explode("tagged.listing").alias("item"))
+    parts = item_date_parts(F.col("date"), calendar_months)
+    return (
+        exploded.groupBy("kind", "date", "source", "item")
+        .agg(F.count("*").alias("nbarticle"), F.avg("tone").alias("tonemean"))
+        .select("kind", "date", *(parts[name].alias(name) for name in ("year", "month", "day")),
+                "source", "item", "nbarticle", "tonemean")
+    )
+
+
 def explode_pairs(df: DataFrame, countries: str) -> DataFrame:
     """One row per pair of a row's distinct countries, each pair sorted; replaces the list column.
 

@@ -7,7 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from newsmart.functions import date_parts, exact_mean, first_tone, items, mentioned_countries
-from newsmart.operators import best_mention, explode_pairs, once, repeat_rows, tallied_events, tone_by_item
+from newsmart.operators import best_mention, explode_pairs, once, repeat_rows, tallied_events, tone_by_item, \
+    tones_by_kind
 
 
 def best_language_counts(events: DataFrame, mentions: DataFrame) -> DataFrame:
@@ -81,6 +82,18 @@ def country_tone(gkg: DataFrame, calendar_months: bool = False) -> DataFrame:
     return tone_by_item(gkg, mentioned_countries(F.col("V2Locations")), "country", False, calendar_months)
 
 
+def item_tones(gkg: DataFrame, calendar_months: bool = False) -> DataFrame:
+    """Marts C by theme, person and country from one scan of the articles; ``kind`` says which a row is of."""
+    return tones_by_kind(gkg, {
+        "theme": items(F.col("Themes")), "person": items(F.col("Persons")),
+        "country": mentioned_countries(F.col("V2Locations"))}, calendar_months)
+
+
+def of_kind(item_rows: DataFrame, kind: str) -> DataFrame:
+    """One of the marts in ``item_tones``, with its own columns."""
+    return item_rows.where(F.col("kind") == kind).withColumnRenamed("item", kind).drop("kind")
+
+
 def country_pair_tone(gkg: DataFrame) -> DataFrame:
     """Mart D: mean tone and number of articles with a tone, per country pair and day.
 
@@ -113,6 +126,24 @@ def monthly_pairs(mart_d: DataFrame) -> DataFrame:
     return mart_d.groupBy("country1", "country2", "month").agg(*measures)
 
 
+def pair_state(mart_d: DataFrame) -> DataFrame:
+    """What ``monthly_pairs`` needs of some days of mart D, in a form that adds up: per pair and month the sum of daily means
+    as a decimal, that of means that are none (see ``exact_mean``), the days that have a mean, and the articles."""
+    value = F.col("mean_tone").cast("double")
+    plain = F.abs(value) < 1e20
+    return mart_d.groupBy("country1", "country2", "month").agg(
+        F.sum(F.when(plain, value).try_cast("decimal(38,12)")).alias("means"),
+        F.sum(F.when(value.isNotNull() & ~plain, value)).alias("odd_means"), F.count(value).alias("days"),
+        F.sum("n_articles").cast("long").alias("n_articles"))
+
+
+def monthly_from_states(states: DataFrame) -> DataFrame:
+    """``monthly_pairs`` of all days whose ``pair_state`` rows are in ``states``."""
+    means = F.coalesce(F.sum("odd_means"), F.sum("means").cast("double"))
+    return states.groupBy("country1", "country2", "month").agg(
+        F.try_divide(means, F.sum("days")).alias("mean_tone"), F.sum("n_articles").alias("n_articles"))
+
+
 def mart_counts(marts: dict[str, DataFrame]) -> DataFrame:
     """Rows of each mart."""
     return reduce(DataFrame.unionAll, (

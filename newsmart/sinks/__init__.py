@@ -1,5 +1,6 @@
 """Mart sinks."""
 
 from .marts import to_mart_schema, write_frame, write_mart, write_period
+from .merge import merge_mart
 
-__all__ = ["to_mart_schema", "write_frame", "write_mart", "write_period"]
+__all__ = ["merge_mart", "to_mart_schema", "write_frame", "write_mart", "write_period"]

@@ -38,17 +38,20 @@ def write_mart(df: DataFrame, mart: str, target: str, fmt: str = "parquet", mode
     lie together in order, a lookup opens the one or two files whose statistics cover it, and a key with a third
     of the rows is cut over as many files as it needs.
     """
-    spec = MARTS[mart]
     out = to_mart_schema(df, mart)
-    if fmt == "parquet":
-        ordered = set(spec.key + spec.descending)
-        order = [
-            *(F.asc(name) for name in spec.key),
-            *(F.desc(name) for name in spec.descending),
-            *(F.asc(name) for name in spec.columns if name not in ordered),
-        ]
-        out = out.repartitionByRange(*order).sortWithinPartitions(*order)
-    write_frame(out, target, fmt, mode, **options)
+    write_frame(sorted_by_key(out, mart) if fmt == "parquet" else out, target, fmt, mode, **options)
+
+
+def sorted_by_key(rows: DataFrame, mart: str) -> DataFrame:
+    """A mart's rows cut into ranges and sorted by key, then by its descending columns, then by the rest."""
+    spec = MARTS[mart]
+    ordered = set(spec.key + spec.descending)
+    order = [
+        *(F.asc(name) for name in spec.key),
+        *(F.desc(name) for name in spec.descending),
+        *(F.asc(name) for name in spec.columns if name not in ordered),
+    ]
+    return rows.repartitionByRange(*order).sortWithinPartitions(*order)
 
 
 def write_period(df: DataFrame, mart: str, target: str, period: str, fmt: str = "parquet", allow_empty: bool = False,
@@ -56,7 +59,8 @@ def write_period(df: DataFrame, mart: str, target: str, period: str, fmt: str =
     """Store the mart of one period in its own folder of ``target``, in place of what an earlier run stored there.
 
     Running a period twice leaves its rows once; other periods are not touched. Rows are written beside the target
-    and moved in when they are complete, so a lost run changes nothing. A period that overlaps another stored one
+    and moved in when they are complete, after the old ones were moved aside; a run lost between the two moves leaves the old
+    rows there, and the next run of the period puts them back first. A period that overlaps another stored one
     is refused, as its rows would count twice; so is an empty one, unless ``allow_empty`` says it is meant.
     """
     spark = df.sparkSession
@@ -74,10 +78,19 @@ def write_period(df: DataFrame, mart: str, target: str, period: str, fmt: str =
         written = spark.read.format(fmt).schema(MARTS[mart].schema).load(staging)
         if not allow_empty and written.isEmpty():
             raise ValueError(f"{mart}: no rows for period {period}")
-        place = paths(f"{target}/period={period}")
-        files.delete(place, True)
+        place, aside = paths(f"{target}/period={period}"), paths(f"{target}/_before-{period}")
+        if files.exists(aside):  # of a run lost between the two moves below, or after them
+            if files.exists(place):
+                files.delete(aside, True)
+            elif not files.rename(aside, place):
+                raise OSError(f"{mart}: cannot move {aside} back to {place}")
+        if files.exists(place) and not files.rename(place, aside):
+            raise OSError(f"{mart}: cannot move {place} aside")
         if not files.rename(paths(staging), place):
+            if files.exists(aside):
+                files.rename(aside, place)
             raise OSError(f"{mart}: cannot move {staging} to {place}")
+        files.delete(aside, True)
     finally:
         files.delete(paths(staging), True)
 

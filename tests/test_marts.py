@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from newsmart import functions as fn
 from newsmart import operators as op
-from newsmart import plans
+from newsmart import commits, plans
 from newsmart.operators.filters import ALIAS_PAIRS, WATCHLIST
 from newsmart.schemas import MARTS
-from newsmart.sinks import to_mart_schema, write_mart
+from newsmart.plans.jobs import store_marts
+from newsmart.sinks import merge_mart, to_mart_schema, write_mart, write_period
 from newsmart.sources import read_mart
 
 EVENTS = "GLOBALEVENTID int, SQLDATE string, ActionGeo_CountryCode string, Year int"
@@ -214,3 +215,127 @@ def test_csv_has_mart_columns_and_no_header(spark, tmp_path):
     text = sorted(line for f in (tmp_path / "a").glob("*.csv") for line in f.read_text().splitlines())
     assert text == ['20190101,FR,"",3', '20190102,"a,b",,4']
     assert {tuple(r) for r in read_mart(spark, path, "querya", "csv").collect()} >= {(20190102, "a,b", None, 4)}
+
+
+def _drawn_articles(spark):
+    draw = random.Random(11)
+    rows = [(str(i), int(f"2019{draw.randint(1, 3):02d}{draw.randint(1, 28):02d}000000"), draw.choice("ab"),
+             draw.choice(["A;B;", "", "A;A"]), draw.choice(["p", "p;q", ""]),
+             ";".join(f"1#{name}#x#" for name in draw.sample(["France", "Chad", "Peru", " "], draw.randint(0, 4))),
+             draw.choice(["1,2", "-3", "x", "", "2.5,1"])) for i in range(400)]
+    rows += [("bad", 0, "a", "A", "p", "1#France#x#;1#Chad#x#", "4")]
+    return spark.createDataFrame(rows, GKG)
+
+
+def test_item_marts_from_one_scan(spark):
+    gkg = _drawn_articles(spark)
+    both = plans.item_tones(gkg)
+    alone = {"theme": plans.theme_tone(gkg), "person": plans.person_tone(gkg), "country": plans.country_tone(gkg)}
+    for kind, mart in alone.items():
+        got = plans.of_kind(both, kind)
+        assert got.columns == mart.columns
+        assert Counter(map(tuple, got.collect())) == Counter(map(tuple, mart.collect()))
+    plan = both._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_item_marts_are_stored_from_one_read(spark, tmp_path):
+    reads = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    gkg = _drawn_articles(spark)
+    watched = gkg.mapInArrow(seen, gkg.schema)
+    store_marts(lambda kind: watched, ["queryctheme", "querycperson", "queryccountry"], str(tmp_path), period="2019")
+    assert reads.value == gkg.count() and not list(tmp_path.glob("_staging*"))
+    for name, mart in (("queryctheme", plans.theme_tone(gkg)), ("queryccountry", plans.country_tone(gkg))):
+        want = Counter(map(tuple, to_mart_schema(mart, name).collect()))
+        assert Counter(map(tuple, read_mart(spark, str(tmp_path / name), name).collect())) == want
+
+
+def test_the_monthly_roll_up_grows_by_a_day(spark, tmp_path):
+    mart_d = plans.country_pair_tone(_drawn_articles(spark)).cache()
+    target = str(tmp_path / "queryd2monthly")
+
+    def rebuilt(rows):
+        return Counter(map(tuple, to_mart_schema(plans.monthly_pairs(rows), "queryd2monthly").collect()))
+
+    def of(*months):
+        return mart_d.where(F.col("month").isin(list(months)))
+
+    assert plans.refresh_monthly(of("01"), target, "201901") == [1]
+    assert plans.refresh_monthly(of("02").where("day < '20'"), target, "20190219") == [2]
+    january = {p for p in (tmp_path / "queryd2monthly" / "mart").rglob("part=1/*.parquet")}
+    assert plans.refresh_monthly(of("02").where("day = '20'"), target, "20190220") == [2]  # given that day alone
+    assert {p for p in (tmp_path / "queryd2monthly" / "mart").rglob("part=1/*.parquet")} == january
+    assert Counter(map(tuple, plans.read_monthly(spark, target).collect())) == rebuilt(
+        of("01", "02").where("month = '01' OR day <= '20'"))
+    # a period made again replaces its part; undated rows are a month of their own
+    assert plans.refresh_monthly(of("02").where("day = '21'").unionAll(mart_d.where("month = ''")), target, "20190220") == [-1, 2]
+    assert Counter(map(tuple, plans.read_monthly(spark, target).collect())) == rebuilt(
+        of("01", "02").where("month = '01' OR day < '20' OR day = '21'").unionAll(mart_d.where("month = ''")))
+    assert plans.refresh_monthly(mart_d.limit(0), target, "20190220") == [-1, 2]
+    with pytest.raises(ValueError, match="overlaps"):
+        plans.refresh_monthly(of("01"), target, "2019")
+    with pytest.raises(FileNotFoundError):
+        plans.read_monthly(spark, str(tmp_path / "none"))
+
+
+def _pairs(spark, rows):
+    return spark.createDataFrame(rows, "day int, month int, year int, n_articles int, mean_tone float, country1 string, country2 string")
+
+
+def test_rows_are_merged_by_key(spark, tmp_path):
+    target = str(tmp_path / "querya")
+
+    def mart(rows):
+        return spark.createDataFrame(rows, "sqldate int, country string, language string, count int")
+
+    first = [(20190101 + day, f"C{n:02d}", "fra", n) for day in range(20) for n in range(40)]
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # else so few rows are one file
+    try:
+        assert merge_mart(mart(first), "querya", target) == (0, 8)
+        before = set(read_mart(spark, target, "querya").inputFiles())
+        # the same key with another language, a key of its own, two rows of one key
+        new = [(20190103, "C05", "deu", 5), (20190103, "C05", "deu", 6), (20190103, None, "x", 1), (20190104, "D", "a", 2),
+               (20190104, "D", "b", 2)]
+        replaced, _ = merge_mart(mart(new), "querya", target)
+        want = {(d, c, n): l for d, c, l, n in first} | {(d, c, n): l for d, c, l, n in new}
+        got = read_mart(spark, target, "querya").collect()
+        assert {(r.sqldate, r.country, r["count"]): r.language for r in got} == want and len(got) == len(want)
+        assert replaced == 1 and len(before - set(read_mart(spark, target, "querya").inputFiles())) == 1
+        # overlapping periods: merging the first again changes back what it holds and keeps the rest
+        merge_mart(mart(first), "querya", target)
+        got = read_mart(spark, target, "querya").collect()
+        assert {(r.sqldate, r.country, r["count"]): r.language for r in got} == want | {(d, c, n): l for d, c, l, n in first}
+        assert merge_mart(mart([]), "querya", target)[0] == 0 and read_mart(spark, target, "querya").count() == len(want)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_a_lost_merge_changes_nothing(spark, tmp_path, monkeypatch):
+    target = str(tmp_path / "d")
+    merge_mart(_pairs(spark, [(1, 1, 2019, 5, 1.0, "A", "B")]), "queryd2", target)
+    with monkeypatch.context() as patch:
+        patch.setattr(commits, "move", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            merge_mart(_pairs(spark, [(2, 1, 2019, 5, 1.0, "A", "B")]), "queryd2", target)
+    assert [r.day for r in read_mart(spark, target, "queryd2").collect()] == [1]
+    merge_mart(_pairs(spark, [(2, 1, 2019, 5, 1.0, "A", "B"), (3, 1, 2019, 5, 1.0, "A", None)]), "queryd2", target)
+    assert sorted(r.day for r in read_mart(spark, target, "queryd2").collect()) == [2, 3]
+
+
+def test_a_period_lost_between_two_moves_comes_back(spark, tmp_path):
+    target = tmp_path / "d"
+    rows = _pairs(spark, [(1, 1, 2019, 5, 1.0, "A", "B")])
+    write_period(rows, "queryd2", str(target), "2019")
+    (target / "period=2019").rename(target / "_before-2019")  # where a lost run left it
+    with pytest.raises(ValueError, match="no rows"):
+        write_period(rows.limit(0), "queryd2", str(target), "2019")
+    assert (target / "_before-2019").exists()  # nothing was lost
+    write_period(_pairs(spark, [(2, 1, 2019, 5, 1.0, "A", "B")]), "queryd2", str(target), "2019")
+    assert [r.day for r in read_mart(spark, str(target), "queryd2").collect()] == [2]
+    assert not (target / "_before-2019").exists()
