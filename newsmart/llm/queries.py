@@ -11,7 +11,7 @@ from .language import fit, identify
 from .licenses import scan_licenses
 from .lines import without_like_lines
 from .minhash import near_duplicates
-from .mixing import mix
+from .mixing import ROUNDS as MIXING_ROUNDS, STEPS, mix
 from .neighbours import nearest_neighbours
 from .packing import pack_documents
 from .placement import place_documents
@@ -109,6 +109,53 @@ QUERIES = {
     "pipeline": pipeline,
 }
 
+def _mixing_sql(fraction: float = 0.5, rounds: int = MIXING_ROUNDS, steps: int = STEPS) -> str:
+    """Raking of the cells; a round takes ``steps`` steps on each margin, one inside the other."""
+    margins = ("source", "lang", "topic")
+    wants = "".join(f"""
+        held_{m} AS (SELECT {m}, sum(tokens) AS held FROM cells GROUP BY {m}),
+        wish_{m} AS (SELECT {m}, held, {fraction} * (SELECT sum(tokens) FROM cells) * sqrt(held) / (SELECT sum(sqrt(held)) FROM held_{m}) AS wish
+                     FROM held_{m}),
+        scale_{m} AS (
+            SELECT ({fraction} * (SELECT sum(tokens) FROM cells) - whole) / open AS scale FROM (
+                SELECT held, wish, coalesce(sum(held) OVER before, 0) AS whole, sum(wish) OVER () - coalesce(sum(wish) OVER before, 0) AS open
+                FROM wish_{m} WINDOW before AS (ORDER BY wish / held DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+            WHERE wish * ({fraction} * (SELECT sum(tokens) FROM cells) - whole) / open < held ORDER BY wish / held DESC LIMIT 1),
+        want_{m} AS (SELECT {m}, least(wish * coalesce((SELECT scale FROM scale_{m}), held / wish), held) AS want_{m} FROM wish_{m}),"""
+        for m in margins)
+    step = "raked WHERE round < " + str(rounds)
+    for m in (name for name in margins for _ in range(steps)):
+        step = f"""(SELECT * EXCLUDE (whole, open, held) REPLACE (least(w * CASE
+            WHEN want_{m} > whole AND open > 0 THEN (want_{m} - whole) / open WHEN want_{m} >= whole THEN 1.0
+            ELSE want_{m} / held END, 1e250::DOUBLE) AS w)
+          FROM (SELECT *, sum(CASE WHEN w >= tokens THEN tokens ELSE 0 END) OVER part AS whole,
+                       sum(CASE WHEN w < tokens THEN w ELSE 0 END) OVER part AS open, sum(least(w, tokens)) OVER part AS held
+                FROM {step} WINDOW part AS (PARTITION BY {m})))"""
+    return rf"""
+        WITH RECURSIVE docs AS (
+            SELECT doc_id, coalesce(source, 'unknown') AS source, coalesce(lang, 'unknown') AS lang,
+                   CASE WHEN length(text) - length(translate(text, '|', '')) > 0.02 * length(text) THEN 'table'
+                        WHEN length(text) - length(translate(text, '0123456789', '')) > 0.05 * length(text) THEN 'figures'
+                        WHEN length(text) - length(translate(text, '!*#$%&', '')) > 0.02 * length(text) THEN 'shouting'
+                        ELSE 'prose' END AS topic,
+                   coalesce(len(regexp_extract_all(text, '\S+')), 0) AS tokens
+            FROM documents),
+        cells AS (
+            SELECT source, lang, topic, sum(tokens)::DOUBLE AS tokens FROM docs GROUP BY ALL HAVING sum(tokens) > 0),{wants}
+        raked AS (
+            SELECT 0 AS round, source, lang, topic, tokens, want_source, want_lang, want_topic, {fraction}::DOUBLE * tokens AS w
+            FROM cells JOIN want_source USING (source) JOIN want_lang USING (lang) JOIN want_topic USING (topic)
+            UNION ALL
+            SELECT round + 1, source, lang, topic, tokens, want_source, want_lang, want_topic, w FROM {step}),
+        plan AS (SELECT source, lang, topic, least(w / tokens, 1.0) AS probability FROM raked WHERE round = {rounds}),
+        joined AS (
+            SELECT docs.*, CASE WHEN docs.tokens = 0 THEN 1.0 ELSE coalesce(probability, 0.0) END AS p,
+                   ('0x' || substr(md5(doc_id::VARCHAR || ':1'), 1, 13))::BIGINT / 4503599627370496.0 AS u
+            FROM docs LEFT JOIN plan USING (source, lang, topic))
+        SELECT doc_id, source, lang, topic, tokens, round(p, 4) AS probability, u < p AS kept FROM joined
+    """
+
+
 def _codes_sql(parts: int = PARTS, entries: int = ENTRIES, rounds: int = ROUNDS, scale: int = SCALE) -> str:
     """Integer k-means, one set of tables a round."""
     apart = "list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
@@ -176,47 +223,7 @@ SQL: dict[str, str] = {
         FROM embeddings LEFT JOIN counts ON a = vec_id
         JOIN (SELECT node, min(seen) AS c FROM reach GROUP BY node) ON node = vec_id
     """,
-    "op6_mixing": r"""
-        WITH RECURSIVE docs AS (
-            SELECT doc_id, coalesce(source, 'unknown') AS source, coalesce(lang, 'unknown') AS lang,
-                   CASE WHEN length(text) - length(translate(text, '|', '')) > 0.02 * length(text) THEN 'table'
-                        WHEN length(text) - length(translate(text, '0123456789', '')) > 0.05 * length(text) THEN 'figures'
-                        WHEN length(text) - length(translate(text, '!*#$%&', '')) > 0.02 * length(text) THEN 'shouting'
-                        ELSE 'prose' END AS topic,
-                   coalesce(len(regexp_extract_all(text, '\S+')), 0) AS tokens
-            FROM documents),
-        cells AS (
-            SELECT source, lang, topic, sum(tokens)::DOUBLE AS tokens FROM docs GROUP BY ALL HAVING sum(tokens) > 0),
-        by_source AS (SELECT source, sqrt(sum(tokens)) AS s FROM cells GROUP BY source),
-        by_lang AS (SELECT lang, sqrt(sum(tokens)) AS l FROM cells GROUP BY lang),
-        by_topic AS (SELECT topic, sqrt(sum(tokens)) AS t FROM cells GROUP BY topic),
-        whole AS (SELECT sum(tokens) AS total FROM cells),
-        wanted AS (
-            SELECT cells.*, total * s / (SELECT sum(s) FROM by_source) AS ws,
-                   total * l / (SELECT sum(l) FROM by_lang) AS wl, total * t / (SELECT sum(t) FROM by_topic) AS wt
-            FROM cells JOIN by_source USING (source) JOIN by_lang USING (lang) JOIN by_topic USING (topic), whole),
-        raked AS (
-            SELECT 0 AS round, *, tokens AS w FROM wanted
-            UNION ALL
-            SELECT round + 1, source, lang, topic, tokens, ws, wl, wt, w2 * wt / sum(w2) OVER (PARTITION BY topic)
-            FROM (SELECT *, w1 * wl / sum(w1) OVER (PARTITION BY lang) AS w2
-                  FROM (SELECT *, w * ws / sum(w) OVER (PARTITION BY source) AS w1 FROM raked WHERE round < 60))),
-        rated AS (
-            SELECT *, w / tokens AS rate,
-                   coalesce(sum(tokens) OVER before, 0) AS whole_before,
-                   sum(w) OVER () - coalesce(sum(w) OVER before, 0) AS open
-            FROM raked WHERE round = 60
-            WINDOW before AS (ORDER BY w / tokens DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
-        scaled AS (
-            SELECT (0.5 * total - whole_before) / open AS scale FROM rated, whole
-            WHERE rate * (0.5 * total - whole_before) / open < 1 ORDER BY rate DESC LIMIT 1),
-        plan AS (SELECT source, lang, topic, least(rate * scale, 1.0) AS probability FROM rated, scaled),
-        joined AS (
-            SELECT docs.*, CASE WHEN docs.tokens = 0 THEN 1.0 ELSE coalesce(probability, 0.0) END AS p,
-                   ('0x' || substr(md5(doc_id::VARCHAR || ':1'), 1, 13))::BIGINT / 4503599627370496.0 AS u
-            FROM docs LEFT JOIN plan USING (source, lang, topic))
-        SELECT doc_id, source, lang, topic, tokens, round(p, 4) AS probability, u < p AS kept FROM joined
-    """,
+    "op6_mixing": _mixing_sql(),
     "op10_minhash": r"""
         WITH RECURSIVE words AS (
             SELECT doc_id, list_filter(regexp_split_to_array(

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from newsmart.llm.language import fit, identified, identify
-from newsmart.llm.mixing import mix, rake, sampled
+from newsmart.llm.mixing import mix, sampled
 from newsmart.llm.packing import fill_window, fillings, place_pieces
 from newsmart.llm.placement import fill_table, place_documents
 from newsmart.llm.quality import compiled, featurized, learn, quality_scores, shares
@@ -132,28 +132,9 @@ def edit_distance(a, b):
     return row[-1]
 
 
-def test_raking_meets_its_targets(spark):
-    draws = random.Random(2)
-    rows = [(s, g, draws.choice("xyz"), draws.randrange(1, 1000)) for s in "abcdefgh" for g in ("en", "de", None) for _ in "12"]
-    cells = spark.createDataFrame(rows, "source string, lang string, topic string, tokens long").fillna("unknown").groupBy(
-        "source", "lang", "topic").agg(F.sum("tokens").alias("tokens"))
-    shares_of = {"source": dict.fromkeys("abcdefgh", 1 / 8), "lang": {"en": 0.5, "de": 0.3, "unknown": 0.2}}
-    targets = {name: spark.createDataFrame(list(values.items()), "value string, share double")
-               for name, values in shares_of.items()}
-    raked = rake(cells, targets, Scratch(spark)).toPandas()
-    for name, values in shares_of.items():
-        held = raked.groupby(name).weight.sum() / raked.weight.sum()
-        assert all(abs(held[value] - share) < 1e-6 for value, share in values.items())
-    table = raked.tokens.astype(float)
-    for _ in range(300):
-        for name, values in shares_of.items():
-            table *= raked[name].map(values) * raked.tokens.sum() / table.groupby(raked[name]).transform("sum")
-    assert np.allclose(table, raked.weight, rtol=1e-5)
-
-
 def test_mixing_cases(spark):
     rows = [(at, "some words here " * (at % 7 + 1), f"s{at % 3 and 1}", "en" if at // 3 % 4 else None, 1) for at in range(400)]
-    rows += [(500, None, "s0", "en", 1), (501, "", None, None, 1), (None, "text", None, "en", 1), (3, rows[3][1], "s0", "en", 1)]
+    rows += [(500, None, "s0", "en", 1), (501, "", None, None, 1), (502, "long " * 50_000, "s1", "en", 1), (None, "text", None, "en", 1), (3, rows[3][1], "s0", "en", 1)]
     frame = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, probability int")
     out = mix(frame).toPandas()
     assert len(out) == len(rows) and out.probability.between(0, 1).all() and out[out.tokens == 0].kept.all()
