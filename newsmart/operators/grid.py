@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .filters import pair_members
 
@@ -17,22 +17,26 @@ def month_grid(monthly: DataFrame, watchlist: tuple[str, ...], months: list[int]
     mean tone of the frame, article counts as a percentage of their spread; a cell without data gets bucket 5 and
     zeros. The cells come from the watch list alone, so the grid's size does not depend on the data.
     """
-    # Least and greatest values are one row, repeated for each month shown, so that the join has a key.
-    frame = monthly.agg(
-        F.min("mean_tone").alias("low"), (F.max("mean_tone") - F.min("mean_tone")).alias("tones"),
-        (F.max("n_articles") - F.min("n_articles")).alias("articles"))
-    shown = F.array(*(F.lit(month) for month in months)).cast("array<int>")
-    placed = monthly.join(F.broadcast(frame.withColumn("month", F.explode(shown))), "month")
-    tone_place = F.try_divide(F.col("mean_tone") - F.col("low"), "tones") * (BUCKETS - 1)
-    shaded = placed.select(
-        "country1", "country2", "month", "mean_tone", "n_articles",
-        F.coalesce(tone_place.cast("int"), F.lit(NEUTRAL_BUCKET)).alias("bucket"),
-        F.coalesce((F.try_divide(F.col("n_articles"), "articles") * 100).cast("int"), F.lit(0)).alias("size"),
-    )
-    wide = shaded.groupBy("country1", "country2").agg(*(
-        F.max(F.when(F.col("month") == month, F.col(name))).alias(f"{name}_{month}")
-        for month in months for name in ("bucket", "size", "mean_tone", "n_articles")
-    ))
+    # The frame is read once: pivoted first, so that least and greatest values are taken over the few pairs left.
+    wide = monthly.groupBy("country1", "country2").agg(
+        *(of(name).alias(f"{label}_{name}") for label, of in (("least", F.min), ("most", F.max)) for name in ("mean_tone", "n_articles")),
+        *(F.max(F.when(F.col("month") == month, F.col(name))).alias(f"{name}_{month}")
+          for month in months for name in ("mean_tone", "n_articles")))
+    everywhere = Window.partitionBy()  # at most as many rows as the watch list has pairs
+    low = F.min("least_mean_tone").over(everywhere)
+    wide = wide.withColumns({
+        "low": low, "tones": F.max("most_mean_tone").over(everywhere) - low,
+        "articles": F.max("most_n_articles").over(everywhere) - F.min("least_n_articles").over(everywhere)})
+
+    def bucket(month: int) -> Column:
+        return (F.try_divide(F.col(f"mean_tone_{month}") - F.col("low"), "tones") * (BUCKETS - 1)).cast("int")
+
+    def size(month: int) -> Column:
+        return (F.try_divide(F.col(f"n_articles_{month}"), "articles") * 100).cast("int")
+
+    wide = wide.select("country1", "country2", *(column.alias(f"{name}_{month}") for month in months for name, column in (
+        ("bucket", bucket(month)), ("size", size(month)), ("mean_tone", F.col(f"mean_tone_{month}")),
+        ("n_articles", F.col(f"n_articles_{month}")))))
     firsts, seconds = pair_members(watchlist)
     cells = (
         monthly.sparkSession.range(0, 1, 1, 1)

@@ -339,3 +339,17 @@ def test_a_period_lost_between_two_moves_comes_back(spark, tmp_path):
     write_period(_pairs(spark, [(2, 1, 2019, 5, 1.0, "A", "B")]), "queryd2", str(target), "2019")
     assert [r.day for r in read_mart(spark, str(target), "queryd2").collect()] == [2]
     assert not (target / "_before-2019").exists()
+
+
+def test_lookups_stop_at_their_limit(spark):
+    gkg = _drawn_articles(spark)
+    events, mentions, e, m = _feed(spark)
+    lookups = [lambda limit: plans.rows_of_country(plans.event_mentions(e, m), "FR", limit),
+               lambda limit: plans.rows_of_item(plans.theme_tone(gkg), "theme", "A", limit),
+               lambda limit: plans.rows_of_pair(plans.country_pair_tone(gkg), "Chad", "Peru", limit)]
+    for lookup in lookups:
+        everything = lookup(None).collect()
+        assert len(everything) > 7 and lookup(7).collect() == everything[:7] and lookup(0).collect() == []
+        assert lookup(10 ** 6).collect() == everything
+    country_rows = plans.rows_of_country(plans.best_language_counts(e, m), "FR", 3).collect()
+    assert len(country_rows) == 3 and {r.country for r in country_rows} == {"FR"}

@@ -81,3 +81,8 @@ def test_stored_mart_lookups_are_pushed_down(spark, tmp_path):
 def test_mart_b_is_one_branch(spark):
     plan = _key_plan(spark, "b_event_mentions").split("Initial Plan")[0]
     assert plan.count("Union") == 1 and "Join" not in plan and "Broadcast" not in plan
+
+
+def test_the_grid_builds_its_mart_once(spark):
+    plan = _key_plan(spark, "pair_grid").split("Initial Plan")[-1]
+    assert plan.count("Scan parquet") == 1
