@@ -112,6 +112,7 @@ def fit(docs: DataFrame, rows: int = SAMPLE_ROWS, features: int = FEATURES) -> d
         return {"families": []}
     matrix = np.stack([np.frombuffer(x, np.float32) for x in sample["vector"]])
     labels = sample["lang"].to_numpy()
+    del sample
     groups = defaultdict(list)
     for language in sorted(set(labels)):
         groups[family_of(language)].append(language)

@@ -10,11 +10,12 @@ def train(features: np.ndarray, positive: np.ndarray, cost: float = 1.0, passes:
 
     Both sides weigh alike in total, however many rows each has.
     """
-    rows = np.concatenate([features, np.ones((len(features), 1), features.dtype)], axis=1).astype(np.float64)
+    rows = np.ones((len(features), features.shape[1] + 1))  # the only copy: samples are held in the driver
+    rows[:, :-1] = features
     sign = np.where(positive, 1.0, -1.0)
     limit = cost * np.where(positive, len(rows) / (2 * max(1, positive.sum())),
                             len(rows) / (2 * max(1, (~positive).sum())))
-    squares = (rows ** 2).sum(axis=1)
+    squares = np.array([(row ** 2).sum() for row in rows])
     weights, alpha = np.zeros(rows.shape[1]), np.zeros(len(rows))
     order = np.random.default_rng(seed)
     for _ in range(passes):
